@@ -67,3 +67,24 @@ def training_preview(table: DataFrame, n: int = 10) -> DataFrame:
     cols = [c for c in PREVIEW_COLUMNS if c in table.columns]
     return table.select(*cols, "event_timestamp").orderBy("machine_id", "event_timestamp") \
         .limit(n).select(*cols)
+
+
+# Serving-side families: frames include the current reading.
+SERVING_FAMILIES = [("avg", 5 * 60 * 1000, "5min"), ("max", 60 * 1000, "1min")]
+
+
+def serving_features(readings: DataFrame, families=SERVING_FAMILIES, sensors=SENSORS,
+                     bucket_ms: int | None = -1) -> DataFrame:
+    """Batch form of the streaming features (ST-1/2): per reading, frames
+    ``[t - d, t]`` including the reading itself.  Output names follow the
+    streaming order (per sensor: 5 min mean, 1 min max)."""
+    aggs = [FrameAgg(agg, s, length, feature_name(agg, s, suffix))
+            for s in sensors for (agg, length, suffix) in families]
+    return trailing_aggregates(readings, "machine_id", "timestamp_ms", aggs,
+                               include_current=True, bucket_ms=bucket_ms)
+
+
+def publish(df: DataFrame, names: list[str], digits: int) -> DataFrame:
+    """PRJ-7: publication rounding of the named columns."""
+    return df.select(*[F.round(F.col(c), digits).alias(c) if c in names else F.col(c)
+                       for c in df.columns])

@@ -79,3 +79,10 @@ def family_cols(families, hi=1, scale=100.0) -> list[tuple[str, str]]:
 
 def unscaled_sensors() -> str:
     return ", ".join(f"{s} / 100.0 AS {s}" for s in SENSORS)
+
+
+def spark_round(expr: str, digits: int) -> str:
+    """Spark's ``round`` on a double: HALF_UP on the shortest decimal form
+    of the value (not on its exact binary value, as DuckDB and Python do)."""
+    return (f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) "
+            f"AS DOUBLE)")
