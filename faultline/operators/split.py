@@ -63,6 +63,25 @@ def global_position(df: DataFrame, order: list[str], ts_ms: Column,
                 .drop("__ms", "__b", "__off"))
 
 
+def running_position(df: DataFrame, keys: list[str], ts: str, tie: list[str],
+                     bucket_ms: int = 3_600_000) -> DataFrame:
+    """ST-5 in batch form: per key, the 1-based position of each row in
+    ``(ts, *tie)`` order (a running count), without one window partition
+    per key: counts per ``(key, time bucket)`` give bucket offsets (a window
+    over the small per-key bucket table), then ``row_number`` inside each
+    ``(key, bucket)``."""
+    b = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("bigint")
+    base = df.withColumn("__b", b)
+    per_b = base.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    offs = per_b.select(*keys, "__b", F.coalesce(F.sum("__n").over(
+        Window.partitionBy(*keys).orderBy("__b")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    rn = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(ts, *tie))
+    return (base.withColumn("__rn", rn).join(offs, keys + ["__b"])
+                .withColumn("position", F.col("__off") + F.col("__rn"))
+                .drop("__b", "__rn", "__off"))
+
+
 def temporal_split(df: DataFrame, ts: str = "event_timestamp", tie: str = "machine_id",
                    test_fraction: float = TEST_FRACTION) -> DataFrame:
     """SRT-2: the first ``int(n * (1 - test_fraction))`` rows in time order
