@@ -8,8 +8,8 @@ from faultline.operators import metrics as M
 from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
 from faultline.plans.queries_batch import _training_query, _training_sql
-from faultline.plans.registry import events, register
-from faultline.schemas import WINDOW_FAMILIES
+from faultline.plans.registry import events, register, sensor_scaled, unscale
+from faultline.schemas import SENSORS, WINDOW_FAMILIES
 from faultline.sources import fixtures as fx
 
 # The training-table SQL is "WITH <fixture views>\nSELECT ..."; expose it as view ``tt``.
@@ -87,3 +87,49 @@ def q_roc_auc_single(spark, sf_dir):
 def q_undersample(spark, sf_dir):
     t = training(spark, sf_dir)
     return sp.undersample(t, target_rows=2_000)
+
+
+# ---- model: train, register, score (rows-only checks) -----------------------
+
+def _train(spark, sf_dir):
+    from faultline.operators import model as ml
+    return ml.train_and_evaluate(training(spark, sf_dir))
+
+
+@register("rf_test_scores")
+def q_rf_test_scores(spark, sf_dir):
+    """ML-1..5 + PRJ-7/8: fit on the past 80 %, score the future 20 %."""
+    _, scored, _ = _train(spark, sf_dir)
+    return scored.select(
+        "machine_id", F.unix_millis("event_timestamp").alias("timestamp_ms"), "faulty",
+        F.col("prediction").cast("int").alias("prediction"),
+        F.round("faulty_proba_raw", 3).alias("faulty_proba"),
+        (F.col("faulty_proba_raw") >= F.lit(0.3)).alias("flagged"))
+
+
+@register("model_runs")
+def q_model_runs(spark, sf_dir):
+    """SNK-5/6 + ML-7/8: register a version, promote it, load it back."""
+    from faultline.operators import model as ml
+    from faultline.session import scratch_path
+    base = scratch_path(spark, "models")
+    model, _, metrics = _train(spark, sf_dir)
+    row = ml.register_run(spark, model, metrics, f"{base}/artifacts", f"{base}/model_runs")
+    ml.transition_stage(spark, f"{base}/model_runs", row.first()["name"], 1, "Production")
+    ml.load_model(spark, f"{base}/model_runs", stage="Production")
+    return spark.read.parquet(f"{base}/model_runs")
+
+
+@register("fault_predictions")
+def q_fault_predictions(spark, sf_dir):
+    """ML-6 over history: point-in-time feature vectors of every reading
+    (store = periodic batch runs + streaming writes), scored and thresholded."""
+    from faultline.operators import model as ml
+    from faultline.operators.scoring import feature_vectors, prediction_records
+    from faultline.plans.queries_store import _stream_writes, q_periodic_materialize
+    model, _, _ = _train(spark, sf_dir)
+    r = sensor_scaled(spark, sf_dir)
+    store = q_periodic_materialize(spark, sf_dir).unionByName(_stream_writes(r))
+    ev = unscale(r.select("machine_id", "timestamp_ms", "machine_type", *SENSORS), SENSORS)
+    vec = feature_vectors(ev, store)
+    return prediction_records(ml.fault_probability(model, vec))

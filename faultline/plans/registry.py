@@ -59,4 +59,5 @@ def round_avgs(df: DataFrame, digits: int = 6, prefixes=("avg_", "mean_")) -> Da
 
 
 # Import the query modules so that they register themselves.
-from faultline.plans import queries_batch, queries_model, queries_store, queries_stream  # noqa: E402,F401,I001
+from faultline.plans import (queries_batch, queries_model, queries_scalar,  # noqa: E402,F401,I001
+                             queries_store, queries_stream)
