@@ -91,3 +91,36 @@ def q_stream_alerts(spark, sf_dir):
     out = _run(spark, "alerts", sw.alerts(ss.reading_stream(spark, sf_dir, scaled=True),
                                           "temperature_C", threshold=5000.0))
     return unscale(out, ["value"])
+
+
+@register("stream_store_writes", VS + ", " + __import__(
+    "faultline.plans.queries_store", fromlist=["x"])._stream_writes_sql() + " SELECT * FROM stream_store")
+def q_stream_store_writes(spark, sf_dir):
+    """C3 + SNK-4 as a streaming job: keyed sliding features appended to the
+    long feature table through ``foreachBatch``; the table is read back."""
+    from faultline.streaming.jobs import feature_writer
+    ensure_utc(spark)
+    base = scratch_path(spark, "store")
+    feature_writer(ss.reading_stream(spark, sf_dir, scaled=True), f"{base}/store",
+                   f"{base}/_checkpoint", unit_scale=100.0).awaitTermination()
+    s = spark.read.parquet(f"{base}/store")
+    return s.select("machine_id", "feature_name", "value", "written_at_ms", "expires_at_ms")
+
+
+@register("stream_predictions")
+def q_stream_predictions(spark, sf_dir):
+    """C5 + ST-6: the scoring stream over replayed readings, with the store
+    filled by periodic batch runs and the streaming feature writer."""
+    from faultline.operators import store as st
+    from faultline.plans.queries_model import _train
+    from faultline.streaming.jobs import feature_writer, scorer
+    ensure_utc(spark)
+    base = scratch_path(spark, "scoring")
+    model, _, _ = _train(spark, sf_dir)
+    readings = sensor_scaled(spark, sf_dir)
+    st.append(st.materialize_periodic(unscale(readings, SENSORS), 300_000), f"{base}/store")
+    feature_writer(ss.reading_stream(spark, sf_dir), f"{base}/store",
+                   f"{base}/_ckpt_features").awaitTermination()
+    scorer(ss.reading_stream(spark, sf_dir), model, f"{base}/store", f"{base}/predictions",
+           f"{base}/_ckpt_scoring").awaitTermination()
+    return spark.read.parquet(f"{base}/predictions")
