@@ -30,5 +30,8 @@ def materialize_job(spark: SparkSession, readings_path: str, store_path: str,
 def training_job(spark: SparkSession, table_path: str, model_root: str, run_log: str,
                  stage: str = "Staging") -> DataFrame:
     """C4: fit on the past, evaluate on the future, save and log the run."""
-    model, _, metrics = ml.train_and_evaluate(load_training_table(spark, table_path))
-    return ml.register_run(spark, model, metrics, model_root, run_log, stage=stage)
+    table = load_training_table(spark, table_path)
+    model, _, metrics = ml.train_and_evaluate(table)
+    example = ml.input_example(ml.split_train(table))
+    return ml.register_run(spark, model, metrics, model_root, run_log, stage=stage,
+                           example=example)

@@ -44,3 +44,6 @@ def test_training_job_logs_a_run(spark):
     row = jobs.training_job(spark, f"{d}/features", f"{d}/models", f"{d}/runs").first()
     assert row.version == 1 and row.n_estimators == 80 and row.max_depth == 8
     assert 0.0 <= row.f1_fault <= 1.0
+    import json
+    ex = json.loads(row.input_example)
+    assert len(ex) == 3 and list(ex[0])[0] == "temperature_C" and "machine_type" in ex[0]
