@@ -89,3 +89,23 @@ def test_decode_topic_frames(spark):
     rows = {r.key: r for r in ss.decode_readings(frames).collect()}
     assert rows["3"].machine_id == 3 and rows["3"].faulty == 1 and rows["3"].temperature_C == 50.5
     assert rows["4"].machine_id == 4 and rows["4"].timestamp_ms is None
+
+
+def test_alert_writer_hook_sees_threshold_rows(spark):
+    from faultline.streaming.jobs import alert_writer
+    pdf = pd.DataFrame({"machine_id": np.int32([1, 1, 1, 2]), "timestamp_ms": [1000, 2000, 15000, 3000],
+                        "temperature_C": [5.0, 7.5, 2.0, 9.0]})
+    src = write_batches([pdf])
+    out = tempfile.mkdtemp(prefix="faultline-test-out-")
+    seen = []
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    alert_writer(stream, "temperature_C", 6.0, f"{out}/a", f"{out}/c",
+                 on_alerts=lambda df: seen.append(df.count())).awaitTermination()
+    rows = spark.read.parquet(f"{out}/a").collect()
+    hits = sorted((r.machine_id, r.value) for r in rows if r.kind == "threshold")
+    means = sorted((r.machine_id, r.window_start_ms, r.value) for r in rows if r.kind == "window_mean")
+    assert hits == [(1, 7.5), (2, 9.0)]
+    # The watermark is global across keys (15 s - 1 s grace): both machines'
+    # first windows close; the 10-20 s window stays open.
+    assert means == [(1, 0, 6.25), (2, 0, 9.0)]
+    assert sum(seen) == 2
