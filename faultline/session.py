@@ -44,12 +44,42 @@ def get_session(master: str | None = None, app_name: str = "faultline",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    ship_package(spark)
     return spark
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session time zone (callers may hand us a foreign session)."""
+    """Pin the session time zone (callers may hand us a foreign session) and
+    make sure executors can import this package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (what
+    ``--py-files`` does), once per application.  Needed by the keyed-state
+    stream operators, whose functions are imported on the workers."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    import faultline
+    pkg_dir = os.path.dirname(os.path.abspath(faultline.__file__))
+    out_dir = tempfile.mkdtemp(prefix="faultline-pyfiles-")
+    zpath = os.path.join(out_dir, "faultline.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
