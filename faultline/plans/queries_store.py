@@ -250,3 +250,13 @@ def q_score_vector(spark, sf_dir):
     store = q_periodic_materialize(spark, sf_dir).unionByName(_stream_writes(r))
     ev = unscale(r.select("machine_id", "timestamp_ms", "machine_type", *SENSORS), SENSORS)
     return feature_vectors(ev, store)
+
+
+@register("feature_keys", VS + ", " + _melt_sql() + """
+SELECT machine_id, feature_name,
+  'feature:machine_id=' || CAST(machine_id AS VARCHAR) || ':' || feature_name AS feature_key
+FROM batch_store""")
+def q_feature_keys(spark, sf_dir):
+    """PRJ-9: the store key of every materialised feature."""
+    return st.with_keys(_batch_store(spark, sf_dir)).select("machine_id", "feature_name",
+                                                            "feature_key")

@@ -124,3 +124,36 @@ def q_stream_predictions(spark, sf_dir):
     scorer(ss.reading_stream(spark, sf_dir), model, f"{base}/store", f"{base}/predictions",
            f"{base}/_ckpt_scoring").awaitTermination()
     return spark.read.parquet(f"{base}/predictions")
+
+
+def _sliding_part(kind):
+    names = [n for n in STREAM_FEATURES if n.startswith(kind)]
+
+    def q(spark, sf_dir):
+        return q_stream_sliding(spark, sf_dir).select("machine_id", "timestamp_ms", *names)
+
+    sql = _sliding_sql().replace("SELECT machine_id, timestamp_ms, ", "SELECT * FROM (SELECT machine_id, timestamp_ms, ", 1) \
+        + ") t"
+    sql = sql.replace("SELECT * FROM (", "SELECT machine_id, timestamp_ms, " + ", ".join(names)
+                      + " FROM (", 1)
+    return q, sql
+
+
+for _kind, _name in (("max_", "stream_sliding_max"), ("avg_", "stream_sliding_mean")):
+    _q, _sql = _sliding_part(_kind)
+    register(_name, _sql)(_q)
+
+
+@register("alerts", VS + """, t AS (
+SELECT 'window_mean' AS kind, machine_id, w * 10000 AS window_start_ms, w * 10000 + 10000 AS window_end_ms,
+  avg(temperature_C) / 100.0 AS value, CAST(NULL AS BIGINT) AS timestamp_ms
+FROM (SELECT *, timestamp_ms // 10000 AS w FROM sensor_scaled) s GROUP BY machine_id, w)
+SELECT * FROM t
+UNION ALL
+SELECT 'threshold' AS kind, machine_id, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+  temperature_C / 100.0, timestamp_ms FROM sensor_scaled WHERE temperature_C > 5000""")
+def q_alerts(spark, sf_dir):
+    """FLT-4 + SET-1 in batch form: every tumbling window (a batch has no
+    open windows) plus the threshold rows, one tagged table."""
+    r = sensor_scaled(spark, sf_dir).withColumn("event_time", F.timestamp_millis("timestamp_ms"))
+    return unscale(sw.alerts(r, "temperature_C", threshold=5000.0), ["value"])
