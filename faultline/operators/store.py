@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.scalar import feature_key
+from faultline.sources.tables import write_partition
 from faultline.schemas import (BATCH_TTL_SECONDS, ONE_HOUR_MS, SENSORS,
                                feature_name)
 
@@ -73,9 +74,10 @@ def materialize_latest(readings: DataFrame, window_ms: int = ONE_HOUR_MS,
     return store_rows(melt(wide, names), written, ttl_seconds)
 
 
-def append(store_rows_df: DataFrame, path: str) -> None:
-    """SNK-3/4 sink: append writes; partitioned by feature for pruned reads."""
-    store_rows_df.write.mode("append").partitionBy("feature_name").parquet(path)
+def append(store_rows_df: DataFrame, path: str, write_id: str) -> None:
+    """SNK-3/4 sink: idempotent append of one write (``write_id``, e.g.
+    ``batch-<as_of>``), partitioned by feature for pruned reads."""
+    write_partition(store_rows_df, path, write_id, ["feature_name"])
 
 
 def current(store: DataFrame, as_of_ms: int | None = None,

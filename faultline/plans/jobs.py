@@ -22,9 +22,12 @@ def training_table_job(spark: SparkSession, readings_path: str, output_path: str
 
 def materialize_job(spark: SparkSession, readings_path: str, store_path: str,
                     as_of_ms: int | None = None) -> None:
-    """C2: latest-hour averages appended to the feature table."""
+    """C2: latest-hour averages appended to the feature table.  A re-run for
+    the same ``as_of_ms`` replaces its earlier write."""
+    import time
+    run = as_of_ms if as_of_ms is not None else int(time.time() * 1000)
     st.append(st.materialize_latest(load_readings(spark, readings_path), as_of_ms=as_of_ms),
-              store_path)
+              store_path, f"batch-{run}")
 
 
 def training_job(spark: SparkSession, table_path: str, model_root: str, run_log: str,

@@ -118,12 +118,13 @@ def q_stream_predictions(spark, sf_dir):
     base = scratch_path(spark, "scoring")
     model, _, _ = _train(spark, sf_dir)
     readings = sensor_scaled(spark, sf_dir)
-    st.append(st.materialize_periodic(unscale(readings, SENSORS), 300_000), f"{base}/store")
+    st.append(st.materialize_periodic(unscale(readings, SENSORS), 300_000), f"{base}/store",
+              "batch-periodic")
     feature_writer(ss.reading_stream(spark, sf_dir), f"{base}/store",
                    f"{base}/_ckpt_features").awaitTermination()
     scorer(ss.reading_stream(spark, sf_dir), model, f"{base}/store", f"{base}/predictions",
            f"{base}/_ckpt_scoring").awaitTermination()
-    return spark.read.parquet(f"{base}/predictions")
+    return spark.read.parquet(f"{base}/predictions").drop("write_id")
 
 
 def _sliding_part(kind):

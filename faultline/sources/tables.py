@@ -36,3 +36,14 @@ def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_partition(df: DataFrame, path: str, write_id: str,
+                    partition_by: list[str] | tuple = ()) -> None:
+    """Idempotent append: rows land in partition ``write_id=<id>`` with
+    dynamic partition overwrite, so re-running the same write (a replayed
+    micro-batch, a re-run materialisation for the same time) replaces its
+    own output instead of duplicating it."""
+    (df.withColumn("write_id", F.lit(write_id))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("write_id", *partition_by).parquet(path))

@@ -27,8 +27,8 @@ def test_training_table_job_counts_rows_once(spark):
 def test_materialize_job_appends_visible_batch_features(spark):
     d = tempfile.mkdtemp(prefix="faultline-test-jobs-")
     raw = raw_readings(spark, d)
-    jobs.materialize_job(spark, raw, f"{d}/store")
-    jobs.materialize_job(spark, raw, f"{d}/store")       # a second run overwrites by time
+    jobs.materialize_job(spark, raw, f"{d}/store", as_of_ms=None)
+    jobs.materialize_job(spark, raw, f"{d}/store", as_of_ms=None)   # a second, later run
     store = spark.read.parquet(f"{d}/store")
     assert store.count() == 2 * 12 * len(BATCH_FEATURES)
     cur = st.current(store)

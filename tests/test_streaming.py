@@ -109,3 +109,15 @@ def test_alert_writer_hook_sees_threshold_rows(spark):
     # first windows close; the 10-20 s window stays open.
     assert means == [(1, 0, 6.25), (2, 0, 9.0)]
     assert sum(seen) == 2
+
+
+def test_replayed_epoch_overwrites_its_own_output(spark):
+    from faultline.streaming.jobs import write_epoch
+    out = tempfile.mkdtemp(prefix="faultline-test-out-") + "/t"
+    a = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
+    b = spark.createDataFrame([(3, 3.0)], "k int, v double")
+    write_epoch(a, 0, out)
+    write_epoch(b, 1, out)
+    write_epoch(a, 0, out)          # replay of epoch 0
+    got = sorted((r.write_id, r.k) for r in spark.read.parquet(out).collect())
+    assert got == [("stream-0", 1), ("stream-0", 2), ("stream-1", 3)]
