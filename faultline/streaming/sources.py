@@ -58,12 +58,17 @@ def topic_sink(frames: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def replay_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The provided ``events`` file as a stream (file source)."""
-    r = (spark.readStream.schema(EVENTS_SCHEMA)
-         .option("pathGlobFilter", "events.parquet"))
+    """The provided ``events`` table as a stream (file source).  A single
+    ``events.parquet`` file is picked out of its folder with a glob filter;
+    an ``events.parquet`` directory of part files is streamed as is."""
+    import os
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    if os.path.isdir(path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
 
 
 def reading_stream(spark: SparkSession, sf_dir: str, scaled: bool = False) -> DataFrame:
