@@ -93,6 +93,37 @@ def temporal_split(df: DataFrame, ts: str = "event_timestamp", tie: str = "machi
     return pos.withColumn("is_train", F.col("position") <= cut)
 
 
+def time_series_folds(df: DataFrame, n_splits: int = 5, ts: str = "event_timestamp",
+                      tie: str = "machine_id") -> DataFrame:
+    """DOR-3: expanding-window time-series folds over the total order
+    ``(ts, tie)``, one row per input row (no per-fold copies).
+
+    With ``n`` rows and ``size = n // (n_splits + 1)``, fold ``k``
+    (0-based) tests the rows at 0-based positions
+    ``[n - (n_splits - k) * size, n - (n_splits - k - 1) * size)`` and trains
+    on every row before them.  Adds ``position`` (1-based), ``test_fold``
+    (the fold testing the row, or null) and ``first_train_fold`` (the first
+    fold training on it; the row trains every later fold too, null if none).
+    Fold ``k``: train ``first_train_fold <= k``, test ``test_fold == k``.
+    """
+    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    size = F.floor(n / F.lit(n_splits + 1))
+    first_test = n - F.lit(n_splits) * size
+    idx = F.col("position") - 1
+    test_fold = F.when((size > 0) & (idx >= first_test),
+                       F.floor((idx - first_test) / size)).cast("bigint")
+    first_train = F.when(idx < first_test, F.lit(0)).when(
+        test_fold < F.lit(n_splits - 1), test_fold + 1).cast("bigint")
+    return pos.select("*", test_fold.alias("test_fold"), first_train.alias("first_train_fold"))
+
+
+def fold_rows(folds: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows of fold ``k`` of ``time_series_folds``."""
+    return (folds.where(F.col("first_train_fold") <= F.lit(k)),
+            folds.where(F.col("test_fold") == F.lit(k)))
+
+
 def undersample(df: DataFrame, label: str = "faulty", target_rows: int = 10_000,
                 seed: int = SEED) -> DataFrame:
     """DOR-2: stratified sample of every class with fraction

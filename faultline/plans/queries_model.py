@@ -135,3 +135,36 @@ def q_fault_predictions(spark, sf_dir):
     ev = unscale(r.select("machine_id", "timestamp_ms", "machine_type", *SENSORS), SENSORS)
     vec = feature_vectors(ev, store)
     return prediction_records(ml.fault_probability(model, vec))
+
+
+# ---- time-series cross-validation (DOR-3) -----------------------------------
+
+CV_SPLITS = 3
+
+
+@register("cv_folds", TT_VIEWS + f""", p AS (
+  SELECT machine_id, event_timestamp, faulty,
+    row_number() OVER (ORDER BY event_timestamp, machine_id) - 1 AS idx,
+    count(*) OVER () AS n FROM tt),
+q AS (SELECT *, n // {CV_SPLITS + 1} AS size, n - {CV_SPLITS} * (n // {CV_SPLITS + 1}) AS first_test FROM p)
+SELECT machine_id, event_timestamp, faulty, idx + 1 AS position,
+  CAST(CASE WHEN size > 0 AND idx >= first_test THEN (idx - first_test) // size END AS BIGINT) AS test_fold,
+  CAST(CASE WHEN idx < first_test THEN 0
+            WHEN (idx - first_test) // size < {CV_SPLITS - 1} THEN (idx - first_test) // size + 1 END AS BIGINT)
+    AS first_train_fold
+FROM q""")
+def q_cv_folds(spark, sf_dir):
+    """DOR-3: expanding-window fold of every training row."""
+    t = training(spark, sf_dir).select("machine_id", "event_timestamp", "faulty")
+    return sp.time_series_folds(t, CV_SPLITS)
+
+
+CV_GRID = [{"n_trees": 20, "max_depth": 4}, {"n_trees": 20, "max_depth": 8}]
+
+
+@register("cv_search")
+def q_cv_search(spark, sf_dir):
+    """DOR-3: grid search over time-series folds (rows-only check)."""
+    from faultline.operators import model as ml
+    return ml.grid_search_cv(training(spark, sf_dir), CV_GRID, n_splits=CV_SPLITS,
+                             parallelism=len(CV_GRID) * CV_SPLITS)

@@ -56,3 +56,44 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(0,)] * 9 + [(1,)], "faulty int")
     w = {r.faulty: r.weight for r in sp.class_weights(df).collect()}
     assert w == {0: 10 / 18, 1: 5.0}
+
+
+def _expanding_folds(n, k):
+    """Brute force: (train index list, test index list) per fold of an
+    expanding-window split with equal test sizes ``n // (k + 1)``."""
+    size = n // (k + 1)
+    out = []
+    for f in range(k):
+        start = n - (k - f) * size
+        out.append((list(range(start)), list(range(start, start + size))))
+    return out
+
+
+def test_time_series_folds_match_brute_force(spark):
+    rng = np.random.default_rng(3)
+    for n, k in ((103, 3), (10, 4), (57, 5)):
+        pdf = pd.DataFrame({"machine_id": rng.integers(1, 13, n),
+                            "ms": rng.integers(0, 5_000_000, n)})
+        df = spark.createDataFrame(pdf).withColumn("event_timestamp", F.timestamp_millis("ms"))
+        got = sp.time_series_folds(df, k).toPandas().sort_values("position")
+        idx = (got.position - 1).to_numpy()
+        for f, (train, test) in enumerate(_expanding_folds(n, k)):
+            tr = idx[(got.first_train_fold.notna() & (got.first_train_fold <= f)).to_numpy()]
+            te = idx[(got.test_fold == f).to_numpy()]
+            assert sorted(tr) == train and sorted(te) == test, (n, k, f)
+            # Past before future in the total order (time, machine).
+            past = got[got.position - 1 < len(train)][["ms", "machine_id"]].max()
+            assert tuple(past) <= tuple(got[(got.test_fold == f).to_numpy()][["ms", "machine_id"]].min())
+
+
+def test_grid_search_cv_shape(spark):
+    from faultline.operators import model as ml
+    from faultline.plans.queries_model import training
+    t = training(spark, "/root/testdata/sf0.001")
+    res = ml.grid_search_cv(t, [{"n_trees": 3, "max_depth": 2}, {"n_trees": 3, "max_depth": 3}],
+                            n_splits=2, parallelism=4).toPandas()
+    assert len(res) == 4 and set(res.fold) == {0, 1}
+    assert (res.n_test == t.count() // 3).all()
+    assert set(res["rank"]) <= {1, 2}
+    for c in ("precision_fault", "recall_fault", "f1_fault"):
+        assert res[c].between(0, 1).all()
