@@ -33,53 +33,81 @@ def with_class_weight(df: DataFrame, label: str = "faulty", out: str = "weight")
     return df.join(F.broadcast(cw), label, "left")
 
 
+# Exact duplicates of a full order key are spread over this many salts.
+POSITION_SALTS = 64
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Equi-join on ``on`` where null keys match (``<=>``)."""
+    r = right.select(*[F.col(c).alias("__r_" + c) for c in on],
+                     *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        e = left[c].eqNullSafe(r["__r_" + c])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond).drop(*["__r_" + c for c in on])
+
+
+def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
+               bucket_ms: int, salts: int = POSITION_SALTS) -> DataFrame:
+    """1-based position of every row in the order ``(ts_ms, *rest)`` within
+    its ``keys`` group (the whole frame when ``keys`` is empty).
+
+    No window partition holds a hot group's rows.  Counts are aggregated
+    (partially, before the shuffle) per ``(keys, bucket, ms, rest, salt)``
+    and offsets come from windows over count tables, one level at a time:
+    buckets of a key (bounded by its time span), time values of a bucket
+    (bounded by the bucket length in ms), ``(rest, salt)`` values of one
+    time value (bounded by the distinct order values at one time).  Rows
+    sharing the whole order key are spread over ``salts`` hash salts, so the
+    closing ``row_number`` runs per ``(keys, ms, rest, salt)`` group; their
+    relative order is arbitrary, as for any ties.
+    """
+    cols = df.columns
+    base = (df.withColumn("__ms", ts_ms)
+              .withColumn("__b", F.floor(F.col("__ms") / F.lit(bucket_ms)).cast("bigint"))
+              .withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]),
+                                           F.lit(salts))))
+    grp = [*keys, "__b", "__ms", *rest, "__salt"]
+    c3 = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
+    per_ms = c3.groupBy(*keys, "__b", "__ms").agg(F.sum("__n").alias("__n"))
+    per_b = per_ms.groupBy(*keys, "__b").agg(F.sum("__n").alias("__n"))
+
+    def before(part, order):
+        return F.coalesce(F.sum("__n").over(
+            Window.partitionBy(*part).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    b_off = per_b.select(*keys, "__b", before(keys, ["__b"]).alias("__off_b"))
+    ms_off = _join_null_safe(
+        per_ms.select(*keys, "__b", "__ms", before([*keys, "__b"], ["__ms"]).alias("__off_ms")),
+        b_off, [*keys, "__b"])
+    g_off = _join_null_safe(
+        c3.select(*grp, before([*keys, "__ms"], [*rest, "__salt"]).alias("__off_g")),
+        ms_off, [*keys, "__b", "__ms"])
+    g_off = g_off.select(*grp, (F.col("__off_b") + F.col("__off_ms") + F.col("__off_g"))
+                         .alias("__off"))
+    rn = F.row_number().over(Window.partitionBy(*grp).orderBy(*[F.col(c) for c in cols]))
+    return (_join_null_safe(base, g_off, grp)
+            .withColumn("position", F.col("__off") + rn)
+            .drop("__ms", "__b", "__salt", "__off"))
+
+
 def global_position(df: DataFrame, order: list[str], ts_ms: Column,
                     bucket_ms: int = 3_600_000) -> DataFrame:
     """SRT-1/2: exact 1-based position of every row in the total order
     ``order`` (whose first column is time, ``ts_ms`` its epoch ms), without a
-    single-partition window over all rows.
-
-    Three levels, each window over a bounded table: row counts per coarse
-    time bucket (one row per bucket) -> offsets of buckets; counts per time
-    value inside each bucket -> offsets of time values; ``row_number`` among
-    the rows sharing one time value.
-    """
-    base = df.withColumn("__ms", ts_ms).withColumn(
-        "__b", F.floor(F.col("__ms") / F.lit(bucket_ms)).cast("bigint"))
-    per_ts = base.groupBy("__b", "__ms").agg(F.count(F.lit(1)).alias("__n_ts"))
-    per_b = per_ts.groupBy("__b").agg(F.sum("__n_ts").alias("__n_b"))
-    b_off = per_b.select("__b", (F.sum("__n_b").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))).alias("__off_b"))
-    ts_off = per_ts.select("__b", "__ms", F.sum("__n_ts").over(
-        Window.partitionBy("__b").orderBy("__ms")
-        .rowsBetween(Window.unboundedPreceding, -1)).alias("__off_ts"))
-    offs = ts_off.join(b_off, "__b").select(
-        "__ms", (F.coalesce(F.col("__off_b"), F.lit(0))
-                 + F.coalesce(F.col("__off_ts"), F.lit(0))).alias("__off"))
-    rest = order[1:]
-    rn = F.row_number().over(Window.partitionBy("__ms").orderBy(*rest)) if rest else \
-        F.row_number().over(Window.partitionBy("__ms").orderBy("__ms"))
-    return (base.join(offs, "__ms").withColumn("position", F.col("__off") + rn)
-                .drop("__ms", "__b", "__off"))
+    single-partition window over rows and without a window partition per
+    time value (see ``_positions``)."""
+    return _positions(df, [], ts_ms, list(order[1:]), bucket_ms)
 
 
 def running_position(df: DataFrame, keys: list[str], ts: str, tie: list[str],
                      bucket_ms: int = 3_600_000) -> DataFrame:
     """ST-5 in batch form: per key, the 1-based position of each row in
-    ``(ts, *tie)`` order (a running count), without one window partition
-    per key: counts per ``(key, time bucket)`` give bucket offsets (a window
-    over the small per-key bucket table), then ``row_number`` inside each
-    ``(key, bucket)``."""
-    b = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("bigint")
-    base = df.withColumn("__b", b)
-    per_b = base.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    offs = per_b.select(*keys, "__b", F.coalesce(F.sum("__n").over(
-        Window.partitionBy(*keys).orderBy("__b")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    rn = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(ts, *tie))
-    return (base.withColumn("__rn", rn).join(offs, keys + ["__b"])
-                .withColumn("position", F.col("__off") + F.col("__rn"))
-                .drop("__b", "__rn", "__off"))
+    ``(ts, *tie)`` order (a running count).  A hot key is not one window
+    partition: see ``_positions``."""
+    return _positions(df, list(keys), F.col(ts).cast("bigint"), list(tie), bucket_ms)
 
 
 def temporal_split(df: DataFrame, ts: str = "event_timestamp", tie: str = "machine_id",

@@ -97,3 +97,20 @@ def test_grid_search_cv_shape(spark):
     assert set(res["rank"]) <= {1, 2}
     for c in ("precision_fault", "recall_fault", "f1_fault"):
         assert res[c].between(0, 1).all()
+
+
+def test_positions_hot_time_duplicates_and_nulls(spark):
+    # A third of the rows share one time value, some are exact duplicates,
+    # one tie value is null: positions stay a permutation in the order.
+    rows = [(7, 1000) for _ in range(40)] + [(m % 5, 1000) for m in range(60)] \
+        + [(None, 1000), (None, 2000)] + [(m, 10 + m) for m in range(98)]
+    df = spark.createDataFrame(rows, "machine_id int, ms long").withColumn(
+        "event_timestamp", F.timestamp_millis("ms"))
+    got = sp.global_position(df, ["event_timestamp", "machine_id"], F.col("ms")).toPandas()
+    assert sorted(got.position) == list(range(1, len(rows) + 1))
+    key = got.assign(m=got.machine_id.fillna(-1)).sort_values("position")[["ms", "m"]]
+    assert list(map(tuple, key.to_numpy())) == sorted(map(tuple, key.to_numpy()))
+    per = sp.running_position(df, ["machine_id"], "ms", []).toPandas()
+    for _, g in per.groupby(per.machine_id.fillna(-1)):
+        assert sorted(g.position) == list(range(1, len(g) + 1))
+        assert list(g.sort_values("position").ms) == sorted(g.ms)
