@@ -24,11 +24,19 @@ EVENTS_SCHEMA = StructType([
 
 
 def topic_source(spark: SparkSession, servers: str, topic: str,
-                 starting: str = "latest") -> DataFrame:
-    """SRC-4 (``latest``) / SRC-5 (``earliest``): a keyed topic."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", starting).load())
+                 starting: str = "latest",
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """SRC-4 (``latest``) / SRC-5 (``earliest``): a keyed topic.
+
+    ``max_offsets_per_trigger`` caps the records of one micro-batch (and so
+    the rows one machine can bring into a keyed state operator at once);
+    the backlog is read over more micro-batches, nothing is dropped."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+         .option("startingOffsets", starting))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load()
 
 
 def decode_readings(frames: DataFrame) -> DataFrame:
@@ -57,24 +65,30 @@ def topic_sink(frames: DataFrame, servers: str, topic: str, checkpoint: str):
             .option("topic", topic).option("checkpointLocation", checkpoint))
 
 
-def replay_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+def replay_events(spark: SparkSession, sf_dir: str, max_files: int | None = None,
+                  max_bytes: str | None = None) -> DataFrame:
     """The provided ``events`` table as a stream (file source).  A single
     ``events.parquet`` file is picked out of its folder with a glob filter;
-    an ``events.parquet`` directory of part files is streamed as is."""
+    an ``events.parquet`` directory of part files is streamed as is.
+    ``max_files`` / ``max_bytes`` (e.g. ``"2g"``) cap one micro-batch; the
+    rest follows in later micro-batches (``availableNow`` honours both)."""
     import os
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     if os.path.isdir(path):
         return r.parquet(path)
     return r.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
 
 
-def reading_stream(spark: SparkSession, sf_dir: str, scaled: bool = False) -> DataFrame:
+def reading_stream(spark: SparkSession, sf_dir: str, scaled: bool = False,
+                   max_files: int | None = None) -> DataFrame:
     """Sensor readings derived from the replayed events, with an event-time
     column ``event_time``."""
-    ev = replay_events(spark, sf_dir)
+    ev = replay_events(spark, sf_dir, max_files=max_files)
     r = fx.sensor_scaled(ev) if scaled else fx.sensor(ev)
     return r.withColumn("event_time", F.timestamp_millis("timestamp_ms"))
 

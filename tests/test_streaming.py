@@ -121,3 +121,39 @@ def test_replayed_epoch_overwrites_its_own_output(spark):
     write_epoch(a, 0, out)          # replay of epoch 0
     got = sorted((r.write_id, r.k) for r in spark.read.parquet(out).collect())
     assert got == [("stream-0", 1), ("stream-0", 2), ("stream-1", 3)]
+
+
+def test_sliding_state_per_ms_matches_brute_force(spark):
+    # Repeated milliseconds (also across micro-batches) and NaN readings.
+    rng = np.random.default_rng(11)
+    batches = []
+    for b in range(3):
+        n = 40
+        ts = np.sort(rng.choice(np.arange(b * 100_000, b * 100_000 + 200_000, 5_000), n))
+        v = rng.integers(0, 50, n).astype("float64")
+        v[rng.random(n) < 0.1] = np.nan
+        batches.append(pd.DataFrame({"machine_id": np.int32(1), "timestamp_ms": ts,
+                                     "temperature_C": v}))
+    src = write_batches(batches)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    out = tempfile.mkdtemp(prefix="faultline-test-out-")
+    q = sw.sliding_features(stream, sensors=["temperature_C"])
+    ss.run_available(q, f"{out}/t", f"{out}/c")
+    got = spark.read.parquet(f"{out}/t").toPandas()
+    # Brute force: a reading sees every reading of its own or an earlier
+    # micro-batch inside [t - d, t].
+    exp = []
+    for b, pdf in enumerate(batches):
+        seen = pd.concat(batches[:b + 1])
+        for t in pdf.timestamp_ms:
+            m5 = seen[(seen.timestamp_ms >= t - 300_000) & (seen.timestamp_ms <= t)].temperature_C
+            m1 = seen[(seen.timestamp_ms >= t - 60_000) & (seen.timestamp_ms <= t)].temperature_C
+            exp.append((t, m5.mean(), m1.max()))
+    g = sorted(zip(got.timestamp_ms, got.avg_temperature_C_5min, got.max_temperature_C_1min),
+               key=lambda r: (r[0], r[1] if r[1] == r[1] else -1, r[2] if r[2] == r[2] else -1))
+    e = sorted(exp, key=lambda r: (r[0], r[1] if r[1] == r[1] else -1, r[2] if r[2] == r[2] else -1))
+    assert len(g) == len(e)
+    for (t1, a1, x1), (t2, a2, x2) in zip(g, e):
+        assert t1 == t2
+        assert (np.isnan(a1) and np.isnan(a2)) or abs(a1 - a2) < 1e-9
+        assert (np.isnan(x1) and np.isnan(x2)) or x1 == x2
