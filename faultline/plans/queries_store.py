@@ -229,21 +229,31 @@ def q_periodic_materialize(spark, sf_dir):
 ALL_NAMES = BATCH_FEATURES + STREAM_FEATURES
 
 
-@register("score_vector", VS + ", " + _periodic_sql() + ", " + _stream_writes_sql() + """,
+def _score_vector_sql():
+    """Per reading and feature name, the latest write at or before the
+    reading that has not expired: one ASOF LEFT JOIN per name."""
+    from faultline.schemas import ORDERED_FEATURE_NAMES
+    joins, picks = [], {}
+    for i, n in enumerate(ALL_NAMES):
+        joins.append(f"ASOF LEFT JOIN (SELECT * FROM all_writes WHERE feature_name = '{n}') w{i}"
+                     f" ON ev.machine_id = w{i}.machine_id AND ev.timestamp_ms >= w{i}.written_at_ms")
+        picks[n] = f"CASE WHEN w{i}.expires_at_ms > ev.timestamp_ms THEN w{i}.value END"
+    cols = []
+    for c in ORDERED_FEATURE_NAMES:
+        if c in STREAM_FEATURES:
+            cols.append(f"coalesce({picks[c]}, 0.0) AS {c}")
+        elif c in picks:
+            cols.append(f"{picks[c]} AS {c}")
+        else:
+            cols.append(f"ev.{c} AS {c}")
+    return (VS + ", " + _periodic_sql() + ", " + _stream_writes_sql() + """,
 all_writes AS (SELECT * FROM batch_store UNION ALL SELECT * FROM stream_store),
-names AS (SELECT DISTINCT feature_name AS n FROM all_writes),
-ev AS (SELECT machine_id, timestamp_ms, machine_type, """ + O.unscaled_sensors() + """ FROM sensor_scaled),
-pairs AS (SELECT ev.*, names.n FROM ev, names),
-hit AS (SELECT p.*, CASE WHEN w.expires_at_ms > p.timestamp_ms THEN w.value END AS v
-  FROM pairs p ASOF LEFT JOIN all_writes w
-  ON p.machine_id = w.machine_id AND p.n = w.feature_name AND p.timestamp_ms >= w.written_at_ms),
-wide AS (SELECT machine_id, timestamp_ms, machine_type, """ + ", ".join(SENSORS) + ", " + ", ".join(
-              f"max(v) FILTER (WHERE n = '{n}') AS {n}" for n in ALL_NAMES) + """
-  FROM hit GROUP BY ALL)
-SELECT machine_id, timestamp_ms, """ + ", ".join(
-              (f"coalesce({c}, 0.0) AS {c}" if c in STREAM_FEATURES else c)
-              for c in __import__("faultline.schemas", fromlist=["x"]).ORDERED_FEATURE_NAMES) + """
-FROM wide WHERE """ + " AND ".join(f"{n} IS NOT NULL" for n in BATCH_FEATURES))
+ev AS (SELECT machine_id, timestamp_ms, machine_type, """ + O.unscaled_sensors() + """ FROM sensor_scaled)
+SELECT ev.machine_id, ev.timestamp_ms, """ + ", ".join(cols) + "\nFROM ev\n" + "\n".join(joins)
+            + "\nWHERE " + " AND ".join(f"{picks[n]} IS NOT NULL" for n in BATCH_FEATURES))
+
+
+@register("score_vector", _score_vector_sql())
 def q_score_vector(spark, sf_dir):
     from faultline.operators.scoring import feature_vectors
     r = sensor_scaled(spark, sf_dir)

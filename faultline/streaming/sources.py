@@ -66,12 +66,13 @@ def topic_sink(frames: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def replay_events(spark: SparkSession, sf_dir: str, max_files: int | None = None,
-                  max_bytes: str | None = None) -> DataFrame:
+                  max_bytes: int | None = None) -> DataFrame:
     """The provided ``events`` table as a stream (file source).  A single
     ``events.parquet`` file is picked out of its folder with a glob filter;
     an ``events.parquet`` directory of part files is streamed as is.
-    ``max_files`` / ``max_bytes`` (e.g. ``"2g"``) cap one micro-batch; the
-    rest follows in later micro-batches (``availableNow`` honours both)."""
+    ``max_files`` or ``max_bytes`` (one of the two, bytes as an integer)
+    caps one micro-batch; the rest follows in later micro-batches
+    (``availableNow`` honours both)."""
     import os
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     r = spark.readStream.schema(EVENTS_SCHEMA)
