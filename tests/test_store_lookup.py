@@ -80,3 +80,29 @@ def test_enrich_asof_respects_expiry(spark):
     s = store_df(spark, [(1, "f1", 1.0, 0, 100), (1, "f1", 2.0, 150, 200), (1, "f2", 9.0, 0, 10_000)])
     got = {r.timestamp_ms: (r.f1, r.f2) for r in lk.enrich_asof(ev, s, NAMES, bucket_ms=60).collect()}
     assert got == {50: (1.0, 9.0), 150: (2.0, 9.0), 250: (None, 9.0)}
+
+
+def test_asof_join_hot_key_channels_nulls(spark):
+    # One hot key with many left rows at the same ms, right rows sharing a
+    # ms, gaps of empty buckets, a null-valued write overriding an older
+    # value, null keys / times on the left, two channels.
+    left = [(i, 1, 5_000) for i in range(200)] + [(200 + i, 1, 10 * i) for i in range(50)] \
+        + [(300, 2, 99_999), (301, None, 5_000), (302, 1, None), (303, 3, 1)]
+    right = [(1, 5_000, "a", 1.0, 0), (1, 5_000, "a", 2.0, 1), (1, 3_000, "a", None, 2),
+             (1, 100, "b", 7.0, 3), (1, 2_500, "a", 3.0, 4), (2, 10, "b", 4.0, 5),
+             (2, 60_000, "a", None, 6), (None, 0, "a", 9.0, 7)]
+    L = spark.createDataFrame(left, "id int, k int, t long")
+    R = spark.createDataFrame(right, "k int, t long, ch string, v double, tie long")
+    for bucket in (700, 4_000, 1_000_000):
+        got = lk.asof_join(L, R, ["k"], "t", "t", ["v"], tie="tie", bucket_ms=bucket,
+                           channel="ch", channels=["a", "b"]).collect()
+        got = {r.id: (r.a_v, r.a_asof_ts, r.b_v, r.b_asof_ts) for r in got}
+        assert len(got) == len(left)
+        for i, k, t in left:
+            exp = []
+            for ch in ("a", "b"):
+                cand = [r for r in right if r[0] == k and k is not None and t is not None
+                        and r[2] == ch and r[1] <= t]
+                best = max(cand, key=lambda r: (r[1], r[4])) if cand else None
+                exp += [best[3], best[1]] if best else [None, None]
+            assert got[i] == tuple(exp), (bucket, i, got[i], exp)
