@@ -117,18 +117,29 @@ def materialize_periodic(readings: DataFrame, period_ms: int, window_ms: int = O
     ``period_ms`` (run times ``origin + k * period``), each averaging the
     readings in ``(T - window, T]`` and stamped at ``T``.
 
-    One pass: a reading at ``t`` belongs to the runs ``T`` with
-    ``t <= T < t + window`` (``window / period`` copies), then one
-    partially-aggregated group-by on ``(machine, run)``.
+    A reading at ``t`` belongs to the runs ``T`` with ``t <= T < t +
+    window``: a range of run indices ``[first, last]`` that depends only on
+    ``t``'s position in its period.  Readings are first summed per
+    ``(machine, first, last)`` (a partial aggregate over the raw rows, at
+    most two groups per machine and period), and only those small partial
+    sums are copied to their ``window / period`` runs and summed per
+    ``(machine, run)``.  Raw rows are never multiplied.
     """
     t = F.col("timestamp_ms") - F.lit(origin_ms)
     first = F.ceil(t / F.lit(period_ms)).cast("bigint")
     last = (F.ceil((t + F.lit(window_ms)) / F.lit(period_ms)) - 1).cast("bigint")
-    runs = (readings.select("machine_id", *sensors,
-                            F.explode(F.sequence(first, last)).alias("__run"))
-                    .groupBy("machine_id", "__run")
-                    .agg(*[F.avg(s).alias(feature_name("avg", s, suffix)) for s in sensors])
-                    .withColumn("written_at_ms", F.lit(origin_ms) + F.col("__run") * F.lit(period_ms)))
+    partial = (readings.select("machine_id", first.alias("__first"), last.alias("__last"), *sensors)
+                       .groupBy("machine_id", "__first", "__last")
+                       .agg(*[F.sum(s).alias(f"__s{i}") for i, s in enumerate(sensors)],
+                            *[F.count(s).alias(f"__n{i}") for i, s in enumerate(sensors)]))
+    runs = (partial.select("machine_id", F.explode(F.sequence("__first", "__last")).alias("__run"),
+                           *[f"__s{i}" for i in range(len(sensors))],
+                           *[f"__n{i}" for i in range(len(sensors))])
+                   .groupBy("machine_id", "__run")
+                   .agg(*[F.try_divide(F.sum(f"__s{i}"), F.sum(f"__n{i}")).cast("double")
+                          .alias(feature_name("avg", s, suffix)) for i, s in enumerate(sensors)])
+                   .withColumn("written_at_ms",
+                               F.lit(origin_ms) + F.col("__run") * F.lit(period_ms)))
     names = [feature_name("avg", s, suffix) for s in sensors]
     long = runs.unpivot(["machine_id", "written_at_ms"], names, "feature_name", "value")
     return store_rows(long, F.col("written_at_ms"), ttl_seconds)

@@ -106,3 +106,28 @@ def test_asof_join_hot_key_channels_nulls(spark):
                 best = max(cand, key=lambda r: (r[1], r[4])) if cand else None
                 exp += [best[3], best[1]] if best else [None, None]
             assert got[i] == tuple(exp), (bucket, i, got[i], exp)
+
+
+def test_periodic_runs_match_brute_force(spark):
+    from faultline.operators import store as st
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"machine_id": rng.integers(1, 4, 400).astype("int32"),
+                        "timestamp_ms": rng.integers(0, 50_000, 400),
+                        "x": rng.integers(0, 100, 400).astype("float64")})
+    pdf.loc[pdf.machine_id == 3, "x"] = np.nan       # a machine with no values
+    df = spark.createDataFrame(pdf)
+    for period, window in ((1_000, 7_000), (3_000, 7_000), (5_000, 5_000)):
+        got = st.materialize_periodic(df, period, window, sensors=["x"], suffix="w").collect()
+        got = {(r.machine_id, r.written_at_ms): r.value for r in got}
+        exp = {}
+        for m, g in pdf.groupby("machine_id"):
+            runs = set()
+            for t in g.timestamp_ms:
+                runs |= set(range(-(-t // period), -(-(t + window) // period)))
+            for k in runs:
+                T = k * period
+                v = g[(g.timestamp_ms > T - window) & (g.timestamp_ms <= T)].x
+                exp[(m, T)] = None if v.isna().all() else v.mean()
+        assert got.keys() == exp.keys()
+        for key, v in exp.items():
+            assert (v is None and got[key] is None) or abs(got[key] - v) < 1e-9
