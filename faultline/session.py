@@ -61,10 +61,14 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Distribute this package to the executors' Python workers (what
     ``--py-files`` does), once per application.  Needed by the keyed-state
-    stream operators, whose functions are imported on the workers."""
+    stream operators, whose functions are imported on the workers.
+
+    Only for local masters: on a cluster the package is shipped with
+    ``spark-submit --py-files`` (or installed on the executors), and nothing
+    is staged in a machine-local folder."""
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     import zipfile
 
