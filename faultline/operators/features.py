@@ -9,6 +9,10 @@ from faultline.functions.scalar import ms_to_timestamp
 from faultline.operators.windows import FrameAgg, trailing_aggregates
 from faultline.schemas import SENSORS, WINDOW_FAMILIES, feature_name
 
+# Frames over per-(machine, time) partial aggregates (see
+# ``trailing_aggregates``): window tasks bounded by time, not by row rate.
+PER_TIME = True
+
 PREVIEW_COLUMNS = ["machine_id", "temperature_C", "avg_temperature_C_1h",
                    "avg_temperature_C_5min", "max_temperature_C_1min",
                    "vibration_mm_per_s", "pressure_kPa", "rotor_speed_rpm",
@@ -29,16 +33,17 @@ def family_aggs(families=WINDOW_FAMILIES, sensors=SENSORS) -> list[FrameAgg]:
 
 def trailing_features(readings: DataFrame, families=WINDOW_FAMILIES,
                       sensors=SENSORS, include_current: bool = False,
-                      bucket_ms: int | None = -1) -> DataFrame:
+                      bucket_ms: int | None = -1, per_time: bool = PER_TIME) -> DataFrame:
     """WIN-*: trailing per-machine aggregates, empty frame -> 0.0 (PRJ-3)."""
     return trailing_aggregates(readings, "machine_id", "timestamp_ms",
                                family_aggs(families, sensors),
                                include_current=include_current,
-                               bucket_ms=bucket_ms, default=0.0)
+                               bucket_ms=bucket_ms, default=0.0, per_time=per_time)
 
 
 def training_table(readings: DataFrame, families=WINDOW_FAMILIES,
-                   sensors=SENSORS, bucket_ms: int | None = -1) -> DataFrame:
+                   sensors=SENSORS, bucket_ms: int | None = -1,
+                   per_time: bool = PER_TIME) -> DataFrame:
     """C1: one row per reading with leakage-free history features.
 
     Rows whose max-family features are all-or-any zero are dropped (FLT-1:
@@ -46,7 +51,8 @@ def training_table(readings: DataFrame, families=WINDOW_FAMILIES,
     as in the modelled system).
     """
     aggs = family_aggs(families, sensors)
-    feats = trailing_features(readings, families, sensors, bucket_ms=bucket_ms)
+    feats = trailing_features(readings, families, sensors, bucket_ms=bucket_ms,
+                              per_time=per_time)
     out = feats.select(
         "machine_id",
         ms_to_timestamp("timestamp_ms").alias("event_timestamp"),
@@ -74,14 +80,14 @@ SERVING_FAMILIES = [("avg", 5 * 60 * 1000, "5min"), ("max", 60 * 1000, "1min")]
 
 
 def serving_features(readings: DataFrame, families=SERVING_FAMILIES, sensors=SENSORS,
-                     bucket_ms: int | None = -1) -> DataFrame:
+                     bucket_ms: int | None = -1, per_time: bool = PER_TIME) -> DataFrame:
     """Batch form of the streaming features (ST-1/2): per reading, frames
     ``[t - d, t]`` including the reading itself.  Output names follow the
     streaming order (per sensor: 5 min mean, 1 min max)."""
     aggs = [FrameAgg(agg, s, length, feature_name(agg, s, suffix))
             for s in sensors for (agg, length, suffix) in families]
     return trailing_aggregates(readings, "machine_id", "timestamp_ms", aggs,
-                               include_current=True, bucket_ms=bucket_ms)
+                               include_current=True, bucket_ms=bucket_ms, per_time=per_time)
 
 
 def publish(df: DataFrame, names: list[str], digits: int) -> DataFrame:

@@ -36,7 +36,8 @@ class FrameAgg:
 def trailing_aggregates(df: DataFrame, key: str | list[str], ts: str,
                         aggs: list[FrameAgg], include_current: bool = False,
                         bucket_ms: int | None = -1,
-                        default: float | None = None) -> DataFrame:
+                        default: float | None = None,
+                        per_time: bool = True) -> DataFrame:
     """Add one column per ``FrameAgg`` to every row of ``df``.
 
     ``include_current=False`` gives the training frame ``[t-d, t-1]`` (no
@@ -44,10 +45,69 @@ def trailing_aggregates(df: DataFrame, key: str | list[str], ts: str,
     ``True`` gives the serving frame ``[t-d, t]``.  ``bucket_ms=-1`` picks
     ``DEFAULT_BUCKET_FACTOR`` x the longest frame; ``None`` disables
     salting (partition by key only).  ``default`` replaces empty frames.
+
+    ``per_time=True`` first reduces the rows to one per ``(key, time)``
+    (per-column sum / count / max / min, a partial aggregate before the
+    shuffle): both frames depend only on the key and the time, so every row
+    at one time gets the same values.  The frames then run over that table,
+    whose size per key and bucket is bounded by the bucket length in time
+    units, whatever the row rate, and the values are joined back on
+    ``(key, time)`` (one row per key and time on that side, so AQE's skew
+    join can split a hot key).  It costs one aggregation and one join more;
+    use it when one key can be both hot and dense.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not aggs:
         return df
+    if per_time:
+        return _per_time(df, keys, ts, aggs, include_current, bucket_ms, default)
+    return _frames(df, keys, ts, aggs, include_current, bucket_ms, default)
+
+
+_PARTS = {"avg": ("s", "n"), "sum": ("s", "n"), "count": ("n",), "max": ("x",), "min": ("m",)}
+_PART_AGG = {"s": F.sum, "n": F.count, "x": F.max, "m": F.min}
+
+
+def _per_time(df, keys, ts, aggs, include_current, bucket_ms, default):
+    cols = sorted({a.column for a in aggs})
+    parts = sorted({(c, p) for a in aggs for c in [a.column] for p in _PARTS[a.agg]})
+    name = {(c, p): f"__{p}_{i}" for i, (c, p) in enumerate(parts)}
+    per = (df.where(F.col(ts).isNotNull()).groupBy(*keys, ts)
+             .agg(*[_PART_AGG[p](F.col(c)).alias(name[(c, p)]) for c, p in parts]))
+    # Frame aggregates of the per-time parts: sums of sums and counts,
+    # max of maxima, min of minima.
+    re_aggs = []
+    for a in aggs:
+        if a.agg in ("avg", "sum", "count"):
+            re_aggs.append(FrameAgg("sum", name[(a.column, "n")], a.length_ms, a.alias + "__n"))
+        if a.agg in ("avg", "sum"):
+            re_aggs.append(FrameAgg("sum", name[(a.column, "s")], a.length_ms, a.alias + "__s"))
+        if a.agg == "max":
+            re_aggs.append(FrameAgg("max", name[(a.column, "x")], a.length_ms, a.alias))
+        if a.agg == "min":
+            re_aggs.append(FrameAgg("min", name[(a.column, "m")], a.length_ms, a.alias))
+    framed = _frames(per, keys, ts, re_aggs, include_current, bucket_ms, None)
+    outs = []
+    for a in aggs:
+        if a.agg in ("avg", "sum", "count"):
+            n = F.coalesce(F.col(a.alias + "__n"), F.lit(0))
+        if a.agg == "avg":
+            c = F.when(n > 0, F.col(a.alias + "__s").cast("double") / n)
+        elif a.agg == "sum":
+            c = F.when(n > 0, F.col(a.alias + "__s"))
+        elif a.agg == "count":
+            c = n
+        else:
+            c = F.col(a.alias)
+        outs.append(c.alias(a.alias))
+    feats = framed.select(*keys, ts, *outs)
+    out = df.join(feats, [*keys, ts], "left")
+    if default is not None:
+        out = out.fillna(default, subset=[a.alias for a in aggs])
+    return out.select(*df.columns, *[a.alias for a in aggs])
+
+
+def _frames(df, keys, ts, aggs, include_current, bucket_ms, default):
     upper = 0 if include_current else -1
     halo = max(a.length_ms for a in aggs)
     if bucket_ms == -1:

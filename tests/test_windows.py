@@ -66,23 +66,26 @@ def brute(pdf, key, ts, col, length, agg, include_current):
 def test_salted_equals_brute_force(spark):
     rng = np.random.default_rng(7)
     n = 400
-    pdf = pd.DataFrame({"k": rng.integers(0, 3, n), "t": rng.integers(0, 200_000, n),
+    # Coarse times: many rows share a (key, time); some values are null.
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, n), "t": rng.integers(0, 400, n) * 500,
                         "v": rng.integers(0, 1000, n).astype(float)})
+    pdf.loc[rng.random(n) < 0.1, "v"] = np.nan
     df = spark.createDataFrame(pdf)
     aggs = [FrameAgg("avg", "v", 30_000, "a"), FrameAgg("max", "v", 7_000, "m")]
-    for inc in (False, True):
-        for bucket in (None, 5_000, 31_000, -1):
-            got = trailing_aggregates(df, "k", "t", aggs, include_current=inc,
-                                      bucket_ms=bucket).toPandas()
-            got = got.sort_values(["k", "t", "v"]).reset_index(drop=True)
-            ref = got[["k", "t", "v"]].copy()
-            ref["a"] = brute(ref, "k", "t", "v", 30_000, "avg", inc)
-            ref["m"] = brute(ref, "k", "t", "v", 7_000, "max", inc)
-            assert len(got) == n
-            for c in ("a", "m"):
-                a = got[c].astype(float).to_numpy()
-                b = ref[c].astype(float).to_numpy()
-                assert np.allclose(np.nan_to_num(a, nan=-1), np.nan_to_num(b, nan=-1)), (inc, bucket, c)
+    for inc, bucket, per_time in [(i, b, p) for i in (False, True)
+                                  for b in (None, 5_000, 31_000, -1) for p in (False, True)]:
+        got = trailing_aggregates(df, "k", "t", aggs, include_current=inc,
+                                  bucket_ms=bucket, per_time=per_time).toPandas()
+        got = got.sort_values(["k", "t", "v"]).reset_index(drop=True)
+        ref = got[["k", "t", "v"]].copy()
+        ref["a"] = brute(ref, "k", "t", "v", 30_000, "avg", inc)
+        ref["m"] = brute(ref, "k", "t", "v", 7_000, "max", inc)
+        assert len(got) == n
+        for c in ("a", "m"):
+            a = got[c].astype(float).to_numpy()
+            b = ref[c].astype(float).to_numpy()
+            assert np.allclose(np.nan_to_num(a, nan=-1), np.nan_to_num(b, nan=-1)), \
+                (inc, bucket, per_time, c)
 
 
 def test_no_leakage_from_current_or_future(spark):
@@ -100,7 +103,7 @@ def test_no_leakage_from_current_or_future(spark):
 
 def test_window_plan_has_one_exchange(spark, capsys):
     df = readings(spark, [(1, i * 1000, 1.0) for i in range(10)])
-    feat.training_table(df).explain()
+    feat.training_table(df, per_time=False).explain()
     plan = capsys.readouterr().out
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Window ") >= 1
@@ -115,8 +118,10 @@ def test_hot_key_spreads_over_tasks(spark):
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        salted = trailing_aggregates(df, "machine_id", "timestamp_ms", aggs, bucket_ms=600_000)
-        plain = trailing_aggregates(df, "machine_id", "timestamp_ms", aggs, bucket_ms=None)
+        salted = trailing_aggregates(df, "machine_id", "timestamp_ms", aggs, bucket_ms=600_000,
+                                     per_time=False)
+        plain = trailing_aggregates(df, "machine_id", "timestamp_ms", aggs, bucket_ms=None,
+                                    per_time=False)
         # Keep the window output referenced so the Window is not pruned away.
         def tasks(d):
             return {r.p for r in d.select(F.spark_partition_id().alias("p"), "a").collect()}
@@ -127,3 +132,17 @@ def test_hot_key_spreads_over_tasks(spark):
     a = {r.timestamp_ms: r.a for r in salted.collect()}
     b = {r.timestamp_ms: r.a for r in plain.collect()}
     assert a == b
+
+
+def test_per_time_groups_rows_of_one_time(spark):
+    """A hot (machine, time) with many rows is one row in the frame table:
+    the window input shrinks to the distinct times."""
+    df = spark.range(0, 5_000).select(F.lit(1).alias("machine_id"),
+                                      ((F.col("id") % 10) * 1000).alias("timestamp_ms"),
+                                      (F.col("id") % 97).cast("double").alias("v"))
+    aggs = [FrameAgg("avg", "v", 3_000, "a"), FrameAgg("max", "v", 3_000, "m")]
+    got = trailing_aggregates(df, "machine_id", "timestamp_ms", aggs, per_time=True)
+    ref = trailing_aggregates(df, "machine_id", "timestamp_ms", aggs, per_time=False)
+    a = {(r.timestamp_ms, r.a, r.m) for r in got.collect()}
+    b = {(r.timestamp_ms, r.a, r.m) for r in ref.collect()}
+    assert a == b and got.count() == 5_000
