@@ -79,9 +79,9 @@ def _per_time(df, keys, ts, aggs, include_current, bucket_ms, default):
     re_aggs = []
     for a in aggs:
         if a.agg in ("avg", "sum", "count"):
-            re_aggs.append(FrameAgg("sum", name[(a.column, "n")], a.length_ms, a.alias + "__n"))
+            re_aggs.append(FrameAgg("psum", name[(a.column, "n")], a.length_ms, a.alias + "__n"))
         if a.agg in ("avg", "sum"):
-            re_aggs.append(FrameAgg("sum", name[(a.column, "s")], a.length_ms, a.alias + "__s"))
+            re_aggs.append(FrameAgg("psum", name[(a.column, "s")], a.length_ms, a.alias + "__s"))
         if a.agg == "max":
             re_aggs.append(FrameAgg("max", name[(a.column, "x")], a.length_ms, a.alias))
         if a.agg == "min":
@@ -90,7 +90,7 @@ def _per_time(df, keys, ts, aggs, include_current, bucket_ms, default):
     outs = []
     for a in aggs:
         if a.agg in ("avg", "sum", "count"):
-            n = F.coalesce(F.col(a.alias + "__n"), F.lit(0))
+            n = F.col(a.alias + "__n")
         if a.agg == "avg":
             c = F.when(n > 0, F.col(a.alias + "__s").cast("double") / n)
         elif a.agg == "sum":
@@ -123,23 +123,39 @@ def _frames(df, keys, ts, aggs, include_current, bucket_ms, default):
                     .withColumn("__bucket", F.explode(F.sequence(own, last))))
         part_cols = keys + ["__bucket"]
 
+    base_spec = Window.partitionBy(*part_cols).orderBy(F.col(ts))
+    specs: dict = {}
+
     def frame(lo, hi):
-        return Window.partitionBy(*part_cols).orderBy(F.col(ts)).rangeBetween(lo, hi)
+        # One spec object per distinct frame (fewer driver-side calls when
+        # many columns share frames; Spark fuses them into one Window node).
+        if (lo, hi) not in specs:
+            specs[(lo, hi)] = base_spec.rangeBetween(lo, hi)
+        return specs[(lo, hi)]
 
     def running(fn, col, hi):
         return fn(F.col(col)).over(frame(Window.unboundedPreceding, hi))
 
+    zero = F.lit(0)
+
+    def frame_sum(col, length):
+        # Difference of two running frames: O(n) instead of re-aggregating
+        # every frame.  Running sums restart in every (key, bucket), which
+        # keeps them small relative to the frame sums.
+        lo_edge = -(length + 1)
+        return (F.coalesce(running(F.sum, col, upper), zero)
+                - F.coalesce(running(F.sum, col, lo_edge), zero))
+
     out_cols: list[Column] = []
     for a in aggs:
-        if a.agg in ("avg", "sum", "count"):
-            # Difference of two running frames: O(n) instead of re-aggregating
-            # every frame.  Running sums restart in every (key, bucket), which
-            # keeps them small relative to the frame sums.
+        if a.agg == "psum":
+            # Internal: plain frame sum of a non-null part column (0 if empty).
+            c = frame_sum(a.column, a.length_ms)
+        elif a.agg in ("avg", "sum", "count"):
+            s = frame_sum(a.column, a.length_ms)
             lo_edge = -(a.length_ms + 1)
-            s = (F.coalesce(running(F.sum, a.column, upper), F.lit(0))
-                 - F.coalesce(running(F.sum, a.column, lo_edge), F.lit(0)))
             n = (running(F.count, a.column, upper)
-                 - F.coalesce(running(F.count, a.column, lo_edge), F.lit(0)))
+                 - F.coalesce(running(F.count, a.column, lo_edge), zero))
             if a.agg == "avg":
                 c = F.when(n > 0, s.cast("double") / n)
             elif a.agg == "sum":
