@@ -49,7 +49,8 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
 
 
 def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
-               bucket_ms: int, salts: int = POSITION_SALTS) -> DataFrame:
+               bucket_ms: int, salts: int = POSITION_SALTS,
+               total_col: str | None = None) -> DataFrame:
     """1-based position of every row in the order ``(ts_ms, *rest)`` within
     its ``keys`` group (the whole frame when ``keys`` is empty).
 
@@ -62,6 +63,9 @@ def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
     sharing the whole order key are spread over ``salts`` hash salts, so the
     closing ``row_number`` runs per ``(keys, ms, rest, salt)`` group; their
     relative order is arbitrary, as for any ties.
+
+    ``total_col`` also adds the row count of each key group, summed over
+    the per-bucket count table (no second pass over ``df``).
     """
     cols = df.columns
     base = (df.withColumn("__ms", ts_ms)
@@ -78,7 +82,8 @@ def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
             Window.partitionBy(*part).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    b_off = per_b.select(*keys, "__b", before(keys, ["__b"]).alias("__off_b"))
+    extra = [F.sum("__n").over(Window.partitionBy(*keys)).alias("__total")] if total_col else []
+    b_off = per_b.select(*keys, "__b", before(keys, ["__b"]).alias("__off_b"), *extra)
     ms_off = _join_null_safe(
         per_ms.select(*keys, "__b", "__ms", before([*keys, "__b"], ["__ms"]).alias("__off_ms")),
         b_off, [*keys, "__b"])
@@ -86,7 +91,7 @@ def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
         c3.select(*grp, before([*keys, "__ms"], [*rest, "__salt"]).alias("__off_g")),
         ms_off, [*keys, "__b", "__ms"])
     g_off = g_off.select(*grp, (F.col("__off_b") + F.col("__off_ms") + F.col("__off_g"))
-                         .alias("__off"))
+                         .alias("__off"), *([F.col("__total").alias(total_col)] if total_col else []))
     rn = F.row_number().over(Window.partitionBy(*grp).orderBy(*[F.col(c) for c in cols]))
     return (_join_null_safe(base, g_off, grp)
             .withColumn("position", F.col("__off") + rn)
@@ -94,12 +99,12 @@ def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
 
 
 def global_position(df: DataFrame, order: list[str], ts_ms: Column,
-                    bucket_ms: int = 3_600_000) -> DataFrame:
+                    bucket_ms: int = 3_600_000, total_col: str | None = None) -> DataFrame:
     """SRT-1/2: exact 1-based position of every row in the total order
     ``order`` (whose first column is time, ``ts_ms`` its epoch ms), without a
     single-partition window over rows and without a window partition per
     time value (see ``_positions``)."""
-    return _positions(df, [], ts_ms, list(order[1:]), bucket_ms)
+    return _positions(df, [], ts_ms, list(order[1:]), bucket_ms, total_col=total_col)
 
 
 def running_position(df: DataFrame, keys: list[str], ts: str, tie: list[str],
@@ -115,10 +120,9 @@ def temporal_split(df: DataFrame, ts: str = "event_timestamp", tie: str = "machi
     """SRT-2: the first ``int(n * (1 - test_fraction))`` rows in time order
     are ``train``, the rest ``test`` (past vs future).  Adds ``position``
     and ``is_train``."""
-    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)))
-    n = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.floor(n * F.lit(1.0 - test_fraction))
-    return pos.withColumn("is_train", F.col("position") <= cut)
+    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)), total_col="__n")
+    cut = F.floor(F.col("__n") * F.lit(1.0 - test_fraction))
+    return pos.withColumn("is_train", F.col("position") <= cut).drop("__n")
 
 
 def time_series_folds(df: DataFrame, n_splits: int = 5, ts: str = "event_timestamp",
@@ -134,8 +138,8 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, ts: str = "event_timesta
     fold training on it; the row trains every later fold too, null if none).
     Fold ``k``: train ``first_train_fold <= k``, test ``test_fold == k``.
     """
-    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)))
-    n = df.agg(F.count(F.lit(1))).scalar()
+    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)), total_col="__n")
+    n = F.col("__n")
     size = F.floor(n / F.lit(n_splits + 1))
     first_test = n - F.lit(n_splits) * size
     idx = F.col("position") - 1
@@ -143,7 +147,8 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, ts: str = "event_timesta
                        F.floor((idx - first_test) / size)).cast("bigint")
     first_train = F.when(idx < first_test, F.lit(0)).when(
         test_fold < F.lit(n_splits - 1), test_fold + 1).cast("bigint")
-    return pos.select("*", test_fold.alias("test_fold"), first_train.alias("first_train_fold"))
+    return pos.select("*", test_fold.alias("test_fold"), first_train.alias("first_train_fold")) \
+        .drop("__n")
 
 
 def fold_rows(folds: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
