@@ -36,19 +36,25 @@ def roc_auc(df: DataFrame, label: str, score: str, bins: int = 1024) -> DataFram
     ``sum over scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N)``.
 
     Negatives below each distinct score come from a two-level prefix sum:
-    per score bin (a ``bins``-row table) then per distinct score inside its
-    bin, so no window runs over all distinct scores in one partition.
-    Null when only one class is present.
+    per score bin (a ``bins``-row table), then per distinct score inside its
+    bin.  Bins hold about equal numbers of distinct scores: their edges are
+    approximate quantiles of the distinct scores (``bins - 1`` values, read
+    once), so scores crowded near 0 or 1 (the usual case for a rare class)
+    do not all fall into one window task.  Bins only group scores, so the
+    result is exact.  Null when only one class is present.
     """
+    from pyspark.ml.feature import Bucketizer
+
     s = F.col(score).cast("double")
     per = (df.select(s.alias("s"), (F.col(label) == 1).alias("pos"))
+             .where(F.col("s").isNotNull())
              .groupBy("s").agg(F.sum(F.col("pos").cast("bigint")).alias("np"),
                                F.sum((~F.col("pos")).cast("bigint")).alias("nn")))
-    mn = per.agg(F.min("s")).scalar()
-    mx = per.agg(F.max("s")).scalar()
-    width = (mx - mn) / F.lit(bins)
-    binned = per.withColumn("b", F.when(width > 0, F.least(
-        F.floor((F.col("s") - mn) / width), F.lit(bins - 1))).otherwise(0).cast("bigint"))
+    cuts = per.agg(F.percentile_approx("s", [i / bins for i in range(1, bins)], 10 * bins)).first()[0]
+    edges = sorted({float(c) for c in (cuts or []) if c == c})
+    splits = [float("-inf"), *edges, float("inf")]
+    binned = Bucketizer(splits=splits, inputCol="s", outputCol="b",
+                        handleInvalid="keep").transform(per)
     per_bin = binned.groupBy("b").agg(F.sum("nn").alias("nn_b"))
     bin_off = per_bin.select("b", F.coalesce(F.sum("nn_b").over(
         Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off_b"))
@@ -62,4 +68,5 @@ def roc_auc(df: DataFrame, label: str, score: str, bins: int = 1024) -> DataFram
     return tot.select(
         F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                F.col("u") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("roc_auc"),
-        F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg"))
+        F.coalesce(F.col("n_pos"), F.lit(0)).cast("bigint").alias("n_pos"),
+        F.coalesce(F.col("n_neg"), F.lit(0)).cast("bigint").alias("n_neg"))

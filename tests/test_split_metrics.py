@@ -114,3 +114,19 @@ def test_positions_hot_time_duplicates_and_nulls(spark):
     for _, g in per.groupby(per.machine_id.fillna(-1)):
         assert sorted(g.position) == list(range(1, len(g) + 1))
         assert list(g.sort_values("position").ms) == sorted(g.ms)
+
+
+def test_auc_exact_with_scores_crowded_near_zero(spark):
+    # Most scores in a tiny range (a rare class): equal-count bins still
+    # give the exact rank-formula value.
+    rng = np.random.default_rng(9)
+    n = 4000
+    y = (rng.random(n) < 0.05).astype(int)
+    p = np.where(rng.random(n) < 0.95, rng.random(n) * 1e-3, rng.random(n))
+    p = np.round(p + y * 1e-4, 7)
+    df = spark.createDataFrame(pd.DataFrame({"y": y, "p": p}))
+    got = M.roc_auc(df, "y", "p", bins=32).first().roc_auc
+    ranks = pd.Series(p).rank(method="average").to_numpy()
+    npos, nneg = y.sum(), (1 - y).sum()
+    exp = (ranks[y == 1].sum() - npos * (npos + 1) / 2) / (npos * nneg)
+    assert abs(got - exp) < 1e-12
