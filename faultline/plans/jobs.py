@@ -35,6 +35,6 @@ def training_job(spark: SparkSession, table_path: str, model_root: str, run_log:
     """C4: fit on the past, evaluate on the future, save and log the run."""
     table = load_training_table(spark, table_path)
     model, _, metrics = ml.train_and_evaluate(table)
-    example = ml.input_example(ml.split_train(table))
+    example = ml.input_example(table)
     return ml.register_run(spark, model, metrics, model_root, run_log, stage=stage,
                            example=example)

@@ -114,7 +114,7 @@ def q_model_runs(spark, sf_dir):
     from faultline.session import scratch_path
     base = scratch_path(spark, "models")
     model, _, metrics = _train(spark, sf_dir)
-    example = ml.input_example(ml.split_train(training(spark, sf_dir)))
+    example = ml.input_example(training(spark, sf_dir))
     row = ml.register_run(spark, model, metrics, f"{base}/artifacts", f"{base}/model_runs",
                           example=example)
     ml.transition_stage(spark, f"{base}/model_runs", row.first()["name"], 1, "Production")
