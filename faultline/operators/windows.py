@@ -100,8 +100,14 @@ def _per_time(df, keys, ts, aggs, include_current, bucket_ms, default):
         else:
             c = F.col(a.alias)
         outs.append(c.alias(a.alias))
-    feats = framed.select(*keys, ts, *outs)
-    out = df.join(feats, [*keys, ts], "left")
+    feats = framed.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
+                          F.col(ts).alias("__k_ts"), *outs)
+    # Null-safe on the keys: null-key rows get the frames of their own
+    # (null) group, as without pre-aggregation.
+    cond = F.col(ts) == F.col("__k_ts")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    out = df.join(feats, cond, "left")
     if default is not None:
         out = out.fillna(default, subset=[a.alias for a in aggs])
     return out.select(*df.columns, *[a.alias for a in aggs])

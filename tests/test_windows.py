@@ -146,3 +146,14 @@ def test_per_time_groups_rows_of_one_time(spark):
     a = {(r.timestamp_ms, r.a, r.m) for r in got.collect()}
     b = {(r.timestamp_ms, r.a, r.m) for r in ref.collect()}
     assert a == b and got.count() == 5_000
+
+
+def test_per_time_keeps_null_key_frames(spark):
+    rows = [(None, 0, 1.0), (None, 1000, 3.0), (1, 0, 5.0), (1, 1000, 7.0)]
+    df = spark.createDataFrame(rows, "machine_id int, timestamp_ms long, v double")
+    aggs = [FrameAgg("avg", "v", 5_000, "a"), FrameAgg("max", "v", 5_000, "m")]
+    a = {(r.machine_id, r.timestamp_ms, r.a, r.m) for r in trailing_aggregates(
+        df, "machine_id", "timestamp_ms", aggs, per_time=True).collect()}
+    b = {(r.machine_id, r.timestamp_ms, r.a, r.m) for r in trailing_aggregates(
+        df, "machine_id", "timestamp_ms", aggs, per_time=False).collect()}
+    assert a == b and (None, 1000, 1.0, 1.0) in a
