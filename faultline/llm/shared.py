@@ -10,7 +10,7 @@ from faultline.session import ensure_utc, scratch_path
 from faultline.sources.tables import read_table
 
 #: Rows of an Arrow batch: bounds what a Python worker holds at once.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
