@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from faultline.llm import jaccard_join, language_id
+from faultline.llm import jaccard_join, language_id, packing
 
 QUERIES = {
+    "op6_packing": packing.query,
     "op9_language_id": language_id.query,
     "op10_jaccard_join": jaccard_join.query,
 }
