@@ -6,7 +6,8 @@ matter to the plan, so the plan works on the histogram of lengths (at most
 the gap it leaves is looked up among single lengths, sums of pairs and sums of
 triples, and combinations that fill the gap exactly are consumed as often as
 the counts allow.  What remains is placed by best fit, longest first.  The
-plan is a list of slots, ranges of ranks within a length; its size is bounded
+plan is tried for a few shares that the first length of a combination must
+take of its gap, and the one with the fewest sequences is used.  It is a list of slots, ranges of ranks within a length; its size is bounded
 by the number of lengths, not of documents.  Each piece finds its slot by its
 rank among the pieces of its length; ranks are counted per hash salt, so a
 length that many documents share is spread over ``SALTS`` window groups.
@@ -47,9 +48,11 @@ class Slot:
 
 
 class Plan:
-    """Slots for a histogram of lengths."""
+    """Slots for a histogram of lengths.  In an exact combination each length
+    but the last takes at least ``share`` of the gap that is still open."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, share: float = 0.0):
+        self.share = share
         self.left = counts.astype(np.int64).copy()
         self.rank = np.zeros_like(self.left)
         self.slots: list[Slot] = []
@@ -87,14 +90,14 @@ class Plan:
             if self.left[a] and gap <= a:
                 self.fill([a, gap])
             for b in self.available(min(gap - 1, a)):  # pairs b + c = gap, b >= c
-                if not self.left[a] or 2 * b < gap:
+                if not self.left[a] or b < max(0.5, self.share) * gap:
                     break
                 self.fill([a, b, gap - b])
             for b in self.available(min(gap - 2, a)):  # triples b + c + d = gap, b >= c >= d
-                if not self.left[a] or 3 * b < gap:
+                if not self.left[a] or b < max(1 / 3, self.share) * gap:
                     break
                 for c in self.available(min(gap - b - 1, b)):
-                    if not (self.left[a] and self.left[b]) or 2 * c < gap - b:
+                    if not (self.left[a] and self.left[b]) or c < max(0.5, self.share) * (gap - b):
                         break
                     if self.left[gap - b - c]:
                         self.fill([a, b, c, gap - b - c])
@@ -138,6 +141,17 @@ class Plan:
         return {k: np.array(v, np.int64) for k, v in by.items()}
 
 
+#: Shares that are tried.  Combinations of many short lengths fill sequences
+#: exactly but use up what later gaps need, so the best share depends on the
+#: histogram; at 1 only single complements are consumed before the best fit.
+SHARES = (0.0, 0.6, 0.8, 0.9, 0.95, 1.0)
+
+
+def best_plan(counts: np.ndarray) -> Plan:
+    """The plan with the fewest sequences; the lower share on a tie."""
+    return min((Plan(counts, share) for share in SHARES), key=lambda p: p.sequences)
+
+
 def pieces(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None,
            length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document."""
@@ -174,7 +188,7 @@ def pack(items: DataFrame, length: int = LENGTH) -> DataFrame:
     counts = np.zeros(length + 1, np.int64)
     for r in items.groupBy("length").agg(F.count("*").alias("n")).collect():
         counts[r["length"]] = r["n"]
-    slots = Plan(counts).arrays()
+    slots = best_plan(counts).arrays()
 
     salted = items.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
