@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from faultline.llm import jaccard_join, language_id, packing
+from faultline.llm import jaccard_join, language_id, line_dedup, packing
 
 QUERIES = {
+    "op3_line_dedup": line_dedup.query,
     "op6_packing": packing.query,
     "op9_language_id": language_id.query,
     "op10_jaccard_join": jaccard_join.query,

@@ -100,12 +100,27 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_starts(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (ASCII lower-cased, split at ASCII white space) and
-    the n + 1 offsets of each text's words."""
+    where each begins."""
     data = LOWER[data]
     start, end = spans(~SPACE[data], off)
-    return span_hashes(data, start, end), np.searchsorted(start, off)
+    return span_hashes(data, start, end), start
+
+
+def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and the n + 1 offsets of each text's words."""
+    w, start = word_starts(data, off)
+    return w, np.searchsorted(start, off)
+
+
+def run_hashes(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run ``items[start:end]`` of hashes, in order."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    up, down = powers(len(items) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(items * up[:len(items)], dtype=np.uint64)))
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 def shingles(w: np.ndarray, k: int = SHINGLE) -> np.ndarray:
