@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from faultline.llm import jaccard_join, language_id, line_dedup, packing
+from faultline.llm import decontaminate, jaccard_join, language_id, line_dedup, packing
 
 QUERIES = {
     "op3_line_dedup": line_dedup.query,
     "op6_packing": packing.query,
+    "op7_decontaminate": decontaminate.query,
     "op9_language_id": language_id.query,
     "op10_jaccard_join": jaccard_join.query,
 }
