@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SHINGLE = 5
 
 _rng = np.random.default_rng(20240917)
@@ -33,7 +33,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64, for i below n at least."""
     if len(_powers[0]) < n:
-        size = 1 << max(21, int(n - 1).bit_length())
+        size = 1 << max(19, int(n - 1).bit_length())
         for k, base in enumerate((BASE, BASE_INV)):
             p = np.full(size, base, np.uint64)
             p[0] = 1
