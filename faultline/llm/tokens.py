@@ -10,6 +10,8 @@ hold a special token's string are encoded whole by the tokenizer itself.
 from __future__ import annotations
 
 import base64
+import json
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +24,7 @@ from faultline.llm import text
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Distinct cuts that a worker keeps.
-KEPT = 400_000
+KEPT = 250_000
 
 #: A byte after a space that leaves open whether white space goes on: ASCII
 #: white space and controls, and the lead bytes of other Unicode spaces.
@@ -41,7 +43,9 @@ def gather(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
 
 class Encoder:
     def __init__(self, vocabulary: str, ranks: str):
-        self.whole = Tokenizer.from_file(vocabulary)
+        self.vocabulary = vocabulary
+        with open(vocabulary) as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         with open(ranks, "rb") as f:
             by_bytes = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=by_bytes,
@@ -49,9 +53,12 @@ class Encoder:
         self.size = np.zeros(max(by_bytes.values()) + 1, np.int64)
         for b, i in by_bytes.items():
             self.size[i] = len(b)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.clear()
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.vocabulary)
+
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
