@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from faultline.llm import decontaminate, jaccard_join, language_id, line_dedup, packing, toxicity
+from faultline.llm import decontaminate, jaccard_join, language_id, line_dedup, near_vectors, packing, toxicity
 
 QUERIES = {
     "op3_line_dedup": line_dedup.query,
     "op4_toxicity": toxicity.query,
+    "op5_near_vectors": near_vectors.query,
     "op6_packing": packing.query,
     "op7_decontaminate": decontaminate.query,
     "op9_language_id": language_id.query,
