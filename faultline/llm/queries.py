@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import decontaminate, jaccard_join, language_id, line_dedup, near_vectors, packing, toxicity
+from faultline.llm import decontaminate, fixity, jaccard_join, language_id, line_dedup, near_vectors, packing, toxicity
 
 QUERIES = {
     "op3_line_dedup": line_dedup.query,
@@ -10,7 +10,10 @@ QUERIES = {
     "op5_near_vectors": near_vectors.query,
     "op6_packing": packing.query,
     "op7_decontaminate": decontaminate.query,
+    "op8_fixity": fixity.query,
     "op9_language_id": language_id.query,
     "op10_jaccard_join": jaccard_join.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_fixity": fixity.ORACLE,
+}
