@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from faultline.llm import decontaminate, fixity, jaccard_join, language_id, line_dedup, near_vectors, packing, toxicity
+from faultline.llm import chat_paths, decontaminate, fixity, jaccard_join, language_id, line_dedup, near_vectors, packing, toxicity
 
 QUERIES = {
+    "op2_chat_paths": chat_paths.query,
     "op3_line_dedup": line_dedup.query,
     "op4_toxicity": toxicity.query,
     "op5_near_vectors": near_vectors.query,
@@ -15,5 +16,6 @@ QUERIES = {
     "op10_jaccard_join": jaccard_join.query,
 }
 ORACLES: dict[str, str] = {
+    "op2_chat_paths": chat_paths.ORACLE,
     "op8_fixity": fixity.ORACLE,
 }
