@@ -262,9 +262,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of linked documents the one with the
     smallest doc_id stays; rows that repeat a doc_id count as one document."""
     shared.prepare(spark)
-    kept = (link(docs).where("doc_id is null or doc_id = component_id")
-            .select("doc_id").distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    kept = (link(docs).where("doc_id is null or doc_id = component_id").select(key.alias("_key")).distinct())
+    return (docs.withColumn("_key", key).join(kept, "_key", "left_semi")
+            .dropDuplicates(["_key"]).select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from faultline.llm import chat_paths, decontaminate, fixity, jaccard_join, language_id, line_dedup, near_vectors, packing, toxicity
+from faultline.llm import chat_paths, decontaminate, fixity, jaccard_join, language_id, licenses, line_dedup, near_vectors, packing, toxicity
 
 QUERIES = {
+    "op1_licenses": licenses.query,
     "op2_chat_paths": chat_paths.query,
     "op3_line_dedup": line_dedup.query,
     "op4_toxicity": toxicity.query,
