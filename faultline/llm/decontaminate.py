@@ -144,8 +144,8 @@ def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
     found = shared.stored(leaks(docs, shared.table(spark, sf_dir, "benchmark")).select("th"), "leaks")
-    return (docs.withColumn("_th", text_hash())
-            .join(bounded(found.withColumnRenamed("th", "_th")), "_th", "left_anti").select(*docs.columns))
+    out = (shared.boxed(docs, "text").withColumn("th", text_hash()).join(bounded(found), "th", "left_anti"))
+    return shared.unboxed(out, docs.columns, "text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -264,8 +264,9 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     shared.prepare(spark)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     kept = (link(docs).where("doc_id is null or doc_id = component_id").select(key.alias("_key")).distinct())
-    return (docs.withColumn("_key", key).join(kept, "_key", "left_semi")
-            .dropDuplicates(["_key"]).select(*docs.columns))
+    out = (shared.boxed(docs, "doc_id", "text").withColumn("_key", key).join(kept, "_key", "left_semi")
+           .dropDuplicates(["_key"]))
+    return shared.unboxed(out, docs.columns, "doc_id", "text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

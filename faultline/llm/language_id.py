@@ -217,9 +217,9 @@ def classify(docs: DataFrame, model: Model, names: tuple[str, str, str] = NAMES)
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the language model rejects go."""
     shared.prepare(spark)
-    names = ("_lid_lang", "_lid_score", "_lid_accepted")
     model = fit(docs.where(~held_out_column()))
-    return classify(docs, model, names).where(names[2]).select(*docs.columns)
+    kept = classify(shared.boxed(docs, "doc_id", "text"), model).where("accepted")
+    return shared.unboxed(kept, docs.columns, "doc_id", "text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

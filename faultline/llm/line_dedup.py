@@ -217,12 +217,13 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated runs go, and documents of which nothing else is left."""
     shared.prepare(spark)
-    out = dedup(docs).where("not emptied")
-    if "n_chars" in docs.columns:
+    needed = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
+    out = dedup(shared.boxed(docs, *needed)).where("not emptied")
+    if "n_chars" in needed:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast(kind))
                              .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return shared.unboxed(out, docs.columns, *needed)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

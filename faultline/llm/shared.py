@@ -33,6 +33,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def boxed(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with all columns but the needed ones in one struct, so that
+    their names can't clash with those of an operator."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*needed, (F.struct(*others) if others else F.lit(True)).alias("_rest"))
+
+
+def unboxed(df: DataFrame, columns: list[str], *needed: str) -> DataFrame:
+    """The original columns, in their order, of a boxed frame."""
+    return df.select(*[F.col(c) if c in needed else F.col("_rest").getField(c).alias(c) for c in columns])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -67,8 +67,6 @@ class Encoder:
 
     def learn(self, data: np.ndarray, keys: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         """Encode cuts that are not kept yet."""
-        if len(self.keys) + len(keys) > KEPT:
-            self.clear()
         spaced = data[start] == 32
         order = np.argsort(~spaced, kind="stable")
         keys, start, end, k = keys[order], start[order], end[order], int(spaced.sum())
@@ -115,14 +113,11 @@ class Encoder:
         keys, first, own = np.unique(text.span_hashes(data, start, end), return_index=True, return_inverse=True)
         at, known = self.find(keys)
         if not known.all():
+            if len(self.keys) + int((~known).sum()) > KEPT:
+                self.clear()
+                known[:] = False
             new = first[~known]
-            before = len(self.keys)
             self.learn(data, keys[~known], start[new], end[new])
-            if len(self.keys) < before + len(new):  # it was cleared
-                _, known = self.find(keys)
-                if not known.all():
-                    new = first[~known]
-                    self.learn(data, keys[~known], start[new], end[new])
             at, _ = self.find(keys)
         count = self.count[at][own]
         ids = gather(self.ids, self.start[at][own], count)
