@@ -16,8 +16,10 @@ when ``100 * intersection >= 80 * union``.  Steps:
 4. Candidates come in two rounds.  First every class is paired with one leader
    of its prefix groups, a star, linear in the group size; verified links form
    components.  Then all remaining candidate pairs between different
-   components follow, so no link that matters to a component is missed and a
-   group of near copies is not expanded into all its pairs.
+   components follow, less those whose overlap is bounded below the threshold
+   by positions and by the count in the prefix fragment.  So no link that
+   matters to a component is missed, and a group of near copies is not
+   expanded into all its pairs.
 5. A pair's overlap is counted per fragment of the n-gram order, and the
    partial counts are summed per pair.
 
@@ -147,8 +149,9 @@ def shingle_tables(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(cls, n, h): the rarest-first prefix of each class that can link, without
-    n-grams that no other class has."""
+    """(cls, n, s, pre): for each class that can link, its size, how many of its
+    n-grams others share, and the shared n-grams of its rarest-first prefix, in
+    order.  The ``n - s`` n-grams that only it has come first and are left out."""
     schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("h", pa.int64())])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,18 +163,45 @@ def prefixes(sets: DataFrame) -> DataFrame:
 
     rows = sets.select("cls", "n", "grams").mapInArrow(explode, "cls long, n long, h long")
     df = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = (rows.join(df, "h").groupBy("cls", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("g"))
-              .withColumn("take", F.size("g") - F.ceil(F.col("n") * 4 / 5).cast("int") + 1)
-              .where("take > 0"))
-    return ranked.select("cls", "n", F.explode(F.slice("g", F.lit(1), F.col("take"))).alias("x")) \
-        .select("cls", "n", F.col("x.h").alias("h"))
+    take = F.size("g") - at_least("n", 4, 5).cast("int") + 1
+    return (rows.join(df, "h").groupBy("cls", "n")
+            .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("g"))
+            .where(take > 0)
+            .select("cls", "n", F.size("g").cast("long").alias("s"),
+                    F.transform(F.slice("g", F.lit(1), take), lambda x: x["h"]).alias("pre")))
+
+
+def at_least(n: str, a: int, b: int):
+    """ceil(n * a / b) in whole numbers."""
+    return F.floor((F.col(n) * a + (b - 1)) / b)
 
 
 def close_sizes(a: str, b: str):
     return (F.col(a) * 5 >= F.col(b) * 4) & (F.col(b) * 5 >= F.col(a) * 4)
 
 
+def candidates(spread: DataFrame) -> DataFrame:
+    """(a, b) of classes in different components that may link.
+
+    For ``overlap >= 4/9 (na + nb)`` the smaller set (b) needs a common n-gram
+    among its first ``n - ceil(8/9 n) + 1``, the larger one among its prefix.
+    A pair comes from its first common n-gram only.  What follows that n-gram
+    on either side, and the common n-grams of both prefixes with what follows
+    the prefixes, bound the overlap from above."""
+    own = spread.select("h", *[F.col(c).alias(f"{c}a") for c in ("cls", "n", "s", "r", "component", "pre")])
+    other = spread.where(F.col("n") - F.col("s") + F.col("r") <= F.col("n") - at_least("n", 8, 9)) \
+        .select("h", *[F.col(c).alias(f"{c}b") for c in ("cls", "n", "s", "r", "component", "pre")])
+    need = 4 * (F.col("na") + F.col("nb"))
+    common = F.array_intersect("prea", "preb")
+    beyond = F.greatest(at_least("na", 4, 5), at_least("nb", 4, 5)) - 1
+    return (own.join(other, "h")
+            .where((F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("clsb") < F.col("clsa"))))
+            .where(F.col("componenta") != F.col("componentb")).where(close_sizes("na", "nb"))
+            .where(9 * F.least(F.col("sa") - F.col("ra"), F.col("sb") - F.col("rb")) >= need)
+            .where((F.get(common, F.lit(0)) == F.col("h")) & (9 * (F.size(common) + beyond) >= need))
+            .select(F.col("clsa").alias("a"), F.col("clsb").alias("b")).distinct())
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The links among ``pairs`` (a, b): partial overlaps per fragment, summed per pair."""
     seg = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("fragment", pa.int32()), ("part", pa.binary())])
@@ -221,10 +251,13 @@ def link(docs: DataFrame) -> DataFrame:
     wanted = shared.stored(classes.join(lone, "cls", "left").where("rep is not null and 5 * coalesce(lone, 0) <= n")
                            .select("cls", "rep"), "viable")
     sets = shared.stored(shingle_tables(docs, wanted), "sets")
-    prefix = shared.stored(prefixes(sets), "prefix")
+    heads = shared.stored(prefixes(sets), "prefix")
+    prefix = heads.select("cls", "n", "s", F.posexplode("pre").alias("r", "h"))
 
-    # stars: each class with the leader that leads most of its groups
-    leads = prefix.groupBy("h").agg(F.min(F.struct(F.xxhash64("cls"), "cls", "n")).alias("l"), F.count("*").alias("k")) \
+    # stars: each class with the leader that leads most of its groups; a group
+    # is led by the class with the fewest n-grams of its own
+    leads = prefix.groupBy("h").agg(F.min(F.struct(F.col("n") - F.col("s"), F.xxhash64("cls"), "cls", "n")).alias("l"),
+                                    F.count("*").alias("k")) \
         .where("k > 1").select("h", F.col("l.cls").alias("a"), F.col("l.n").alias("na"))
     stars = (prefix.join(leads, "h").where(F.col("cls") != F.col("a")).where(close_sizes("n", "na"))
              .groupBy(F.col("cls").alias("b"), "a").agg(F.count("*").alias("k"))
@@ -236,10 +269,8 @@ def link(docs: DataFrame) -> DataFrame:
     # all candidates that are left between different components
     spread = prefix.join(parts.withColumnRenamed("node", "cls"), "cls")
     mixed = spread.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    spread = shared.stored(spread.join(mixed.select("h"), "h"), "spread")
-    left = spread.select("h", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = spread.select("h", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = (left.join(right, "h").where("ca < cb").where(close_sizes("na", "nb")).select("a", "b").distinct())
+    spread = shared.stored(spread.join(mixed.select("h"), "h").join(heads.select("cls", "pre"), "cls"), "spread")
+    rest = candidates(spread)
     more = shared.stored(verify(rest, sets), "links")
     merged = shared.components(
         more.join(parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
