@@ -35,8 +35,8 @@ from faultline.llm import shared
 
 THRESHOLD = 0.9
 PROBES = 2
-BLOCK = 1024
-BUCKET_ROWS = 512
+BLOCK = 2048
+BUCKET_ROWS = 2048
 MISS = 0.001
 SEED = 7
 
