@@ -17,10 +17,6 @@ def ms_to_timestamp(ms) -> Column:
     return F.timestamp_millis(_col(ms))
 
 
-def timestamp_to_ms(ts) -> Column:
-    return F.unix_millis(_col(ts).cast("timestamp"))
-
-
 def machine_class(machine_id) -> Column:
     """PRJ-15: class from the machine id, cycling A, B, C from id 1."""
     idx = F.pmod(_col(machine_id) - 1, F.lit(len(MACHINE_CLASSES)))
@@ -36,20 +32,12 @@ def fahrenheit(celsius) -> Column:
 
 
 def parse_number(text) -> Column:
-    """PRJ-10: stored string -> double; null, ``"None"`` or junk -> null."""
-    return _col(text).try_cast("double")
+    """PRJ-10: stored string -> double; null, ``"None"`` or junk -> null.  The
+    shape is checked first: Java's parser also takes ``"1d"`` or ``"0x1p3"``."""
+    shape = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf(inity)?))\s*$"
+    return F.when(_col(text).rlike(shape), _col(text).try_cast("double"))
 
 
 def feature_key(machine_id, name) -> Column:
     """PRJ-9: ``feature:machine_id={id}:{name}``."""
     return F.format_string(FEATURE_KEY_FORMAT, _col(machine_id).cast("string"), _col(name))
-
-
-def publish_round(c, digits: int) -> Column:
-    """PRJ-7: publication rounding (Spark HALF_UP on the decimal value)."""
-    return F.round(_col(c), digits)
-
-
-def threshold_flag(proba, threshold: float) -> Column:
-    """PRJ-8: decision flag, compared on the unrounded probability."""
-    return _col(proba) >= F.lit(threshold)

@@ -7,17 +7,12 @@ from pyspark.sql import functions as F
 
 from faultline.functions.scalar import ms_to_timestamp
 from faultline.operators.windows import FrameAgg, trailing_aggregates
-from faultline.schemas import SENSORS, WINDOW_FAMILIES, feature_name
+from faultline.schemas import PREVIEW_COLUMNS, SENSORS, WINDOW_FAMILIES, feature_name
 
 # Frames over per-(machine, time) partial aggregates (see
 # ``trailing_aggregates``): window tasks bounded by time, not by row rate.
 PER_TIME = True
 
-PREVIEW_COLUMNS = ["machine_id", "temperature_C", "avg_temperature_C_1h",
-                   "avg_temperature_C_5min", "max_temperature_C_1min",
-                   "vibration_mm_per_s", "pressure_kPa", "rotor_speed_rpm",
-                   "machine_type", "faulty"]
-
 
 def family_aggs(families=WINDOW_FAMILIES, sensors=SENSORS) -> list[FrameAgg]:
     """Feature columns in output order: every sensor for the first family,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.schemas import SEED, TEST_FRACTION
+from faultline.schemas import TEST_FRACTION
 
 
 def label_stats(df: DataFrame, label: str = "faulty") -> DataFrame:
@@ -26,15 +26,17 @@ def class_weights(df: DataFrame, label: str = "faulty") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "faulty", out: str = "weight") -> DataFrame:
-    """Attach the balanced weight of each row's class.  The weight table has
-    one row per class (bounded by the label domain), so broadcasting it is
-    safe at any data size."""
+    """Attach the balanced weight of each row's class; AQE broadcasts the
+    weight table when its size at run time allows."""
     cw = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(cw), label, "left")
+    return df.join(cw, label, "left")
 
 
-# Exact duplicates of a full order key are spread over this many salts.
+# Rows that share the full order key are spread over this many salts.
 POSITION_SALTS = 64
+HOUR_US = 3_600_000_000
+# Positions of a block of identical rows are handed out in chunks of this size.
+COPY_CHUNK = 100_000
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -60,20 +62,23 @@ def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
     buckets of a key (bounded by its time span), time values of a bucket
     (bounded by the bucket length in ms), ``(rest, salt)`` values of one
     time value (bounded by the distinct order values at one time).  Rows
-    sharing the whole order key are spread over ``salts`` hash salts, so the
-    closing ``row_number`` runs per ``(keys, ms, rest, salt)`` group; their
-    relative order is arbitrary, as for any ties.
+    equal in every column are counted first and get consecutive positions
+    from their count.  Different rows that share the whole order key are
+    spread over ``salts`` hash salts, so the closing window runs per
+    ``(keys, ms, rest, salt)`` group, in the order of all columns.
 
     ``total_col`` also adds the row count of each key group, summed over
     the per-bucket count table (no second pass over ``df``).
     """
     cols = df.columns
-    base = (df.withColumn("__ms", ts_ms)
+    # Rows equal in every column are interchangeable: one row with a count.
+    base = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__m"))
+              .withColumn("__ms", ts_ms)
               .withColumn("__b", F.floor(F.col("__ms") / F.lit(bucket_ms)).cast("bigint"))
               .withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]),
                                            F.lit(salts))))
     grp = [*keys, "__b", "__ms", *rest, "__salt"]
-    c3 = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
+    c3 = base.groupBy(*grp).agg(F.sum("__m").alias("__n"))
     per_ms = c3.groupBy(*keys, "__b", "__ms").agg(F.sum("__n").alias("__n"))
     per_b = per_ms.groupBy(*keys, "__b").agg(F.sum("__n").alias("__n"))
 
@@ -92,10 +97,16 @@ def _positions(df: DataFrame, keys: list[str], ts_ms: Column, rest: list[str],
         ms_off, [*keys, "__b", "__ms"])
     g_off = g_off.select(*grp, (F.col("__off_b") + F.col("__off_ms") + F.col("__off_g"))
                          .alias("__off"), *([F.col("__total").alias(total_col)] if total_col else []))
-    rn = F.row_number().over(Window.partitionBy(*grp).orderBy(*[F.col(c) for c in cols]))
-    return (_join_null_safe(base, g_off, grp)
-            .withColumn("position", F.col("__off") + rn)
-            .drop("__ms", "__b", "__salt", "__off"))
+    earlier = F.coalesce(F.sum("__m").over(
+        Window.partitionBy(*grp).orderBy(*[F.col(c) for c in cols])
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = (_join_null_safe(base, g_off, grp).withColumn("__off", F.col("__off") + earlier)
+           .withColumn("__from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__m") - 1,
+                                                      F.lit(COPY_CHUNK).cast("bigint"))))
+           .withColumn("__k", F.explode(F.sequence(
+               F.col("__from") + 1, F.least(F.col("__from") + COPY_CHUNK, F.col("__m"))))))
+    return (out.withColumn("position", F.col("__off") + F.col("__k"))
+            .drop("__ms", "__b", "__salt", "__off", "__m", "__from", "__k"))
 
 
 def global_position(df: DataFrame, order: list[str], ts_ms: Column,
@@ -120,7 +131,7 @@ def temporal_split(df: DataFrame, ts: str = "event_timestamp", tie: str = "machi
     """SRT-2: the first ``int(n * (1 - test_fraction))`` rows in time order
     are ``train``, the rest ``test`` (past vs future).  Adds ``position``
     and ``is_train``."""
-    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)), total_col="__n")
+    pos = global_position(df, [ts, tie], F.unix_micros(F.col(ts)), HOUR_US, total_col="__n")
     cut = F.floor(F.col("__n") * F.lit(1.0 - test_fraction))
     return pos.withColumn("is_train", F.col("position") <= cut).drop("__n")
 
@@ -138,7 +149,7 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, ts: str = "event_timesta
     fold training on it; the row trains every later fold too, null if none).
     Fold ``k``: train ``first_train_fold <= k``, test ``test_fold == k``.
     """
-    pos = global_position(df, [ts, tie], F.unix_millis(F.col(ts)), total_col="__n")
+    pos = global_position(df, [ts, tie], F.unix_micros(F.col(ts)), HOUR_US, total_col="__n")
     n = F.col("__n")
     size = F.floor(n / F.lit(n_splits + 1))
     first_test = n - F.lit(n_splits) * size
@@ -158,9 +169,28 @@ def fold_rows(folds: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 
 
 def undersample(df: DataFrame, label: str = "faulty", target_rows: int = 10_000,
-                seed: int = SEED) -> DataFrame:
-    """DOR-2: stratified sample of every class with fraction
-    ``target_rows / n`` (``sampleBy``; distributed Bernoulli per row)."""
-    n = df.count()
-    frac = min(1.0, target_rows / max(n, 1))
-    return df.sampleBy(label, fractions={0: frac, 1: frac}, seed=seed)
+                order: Column | None = None) -> DataFrame:
+    """DOR-2: stratified sample, of every class (null included) exactly the
+    share ``target_rows / n`` of its rows, rounded half to even.
+
+    The rows with the smallest ``order`` stay (a hash that is a bigint from 0
+    to 2**32 - 1; by default one of all columns).  Each class is counted per
+    hash bucket; only rows of the one bucket that is cut are ranked."""
+    cols = df.columns
+    order = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(1 << 32)) if order is None else order
+    base = df.withColumn("__o", order).withColumn("__b", F.shiftright("__o", 16))
+    counts = base.groupBy(F.col(label).alias("__l"), "__b").agg(F.count(F.lit(1)).alias("__c"))
+    per_class = Window.partitionBy("__l")
+    total = counts.agg(F.sum("__c").alias("__n"))
+    counts = (counts.crossJoin(F.broadcast(total))  # one row
+              .withColumn("__class", F.sum("__c").over(per_class))
+              .withColumn("__upto", F.sum("__c").over(per_class.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("__take", F.rint(F.col("__class") * F.least(F.lit(1.0), F.lit(target_rows) / F.col("__n")))
+                          .cast("bigint") - (F.col("__upto") - F.col("__c")))
+              .where("__take > 0").select("__l", "__b", "__c", "__take"))
+    kept = base.join(counts, base[label].eqNullSafe(counts["__l"]) & (base["__b"] == counts["__b"])) \
+        .drop(counts["__b"])
+    whole = kept.where("__take >= __c").select(*cols)
+    cut = kept.where("__take < __c")
+    rank = F.row_number().over(Window.partitionBy("__l", "__b").orderBy("__o", *cols))
+    return whole.unionByName(cut.withColumn("__r", rank).where("__r <= __take").select(*cols))

@@ -94,11 +94,12 @@ def current(store: DataFrame, as_of_ms: int | None = None,
         s = s.where(F.col("feature_name").isin(names))
     if as_of_ms is not None:
         s = s.where(F.col("written_at_ms") <= F.lit(as_of_ms))
-    latest = (s.groupBy("machine_id", "feature_name")
-               .agg(F.max_by(F.struct("value", "written_at_ms", "expires_at_ms"),
-                             "written_at_ms").alias("w"))
-               .select("machine_id", "feature_name", "w.value", "w.written_at_ms",
-                       "w.expires_at_ms"))
+    # primitive columns only, so that the aggregate stays a hash aggregate
+    latest = s.groupBy("machine_id", "feature_name").agg(
+        F.max_by("value", "written_at_ms").alias("value"),
+        F.max_by("expires_at_ms", "written_at_ms").alias("expires_at_ms"),
+        F.max("written_at_ms").alias("written_at_ms")) \
+        .select("machine_id", "feature_name", "value", "written_at_ms", "expires_at_ms")
     if as_of_ms is not None:
         latest = latest.where(F.col("expires_at_ms") > F.lit(as_of_ms))
     return latest

@@ -1,14 +1,15 @@
-"""Per-key trailing time-frame aggregates (WIN-1..12) with time-bucket salting.
+"""Per-key trailing time-frame aggregates (WIN-1..12) from block aggregates.
 
 A frame ``[t - d, t - 1]`` (or ``[t - d, t]``) per key is a range window
-partitioned by the key.  Partitioning by the key alone caps parallelism at
-the number of keys and puts a hot key (a machine holding a large share of
-all rows) into one task.  Instead rows are partitioned by ``(key, bucket)``,
-where ``bucket = floor(ts / B)``; each row is also copied into the following
-buckets whose rows can still see it (``ts + d`` reaches them).  The copies
-("halo" rows) only feed frames and are dropped afterwards, so the result is
-exactly the per-key frame, with one shuffle, and every bucket is an
-independent window partition.  The extra shuffled volume is about ``d / B``.
+partitioned by the key.  That caps parallelism at the number of keys, and
+Spark aggregates every sliding frame anew, so a dense key costs rows x frame.
+Instead time is cut into blocks of the frame's own length ``d``.  A frame then
+covers exactly two blocks: the end of the block before, from ``t - d`` on, and
+the beginning of the own block.  Both are running aggregates inside one block
+(forward for the own block, backward for the one before, read off at ``t - d``
+by a probe row), linear in the rows, and a window partition holds one block of
+one key.  The two parts are added or compared, never subtracted, so a NaN, an
+infinity or a huge value affects only the frames that contain it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ _AGGS = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.coun
 
 # Default bucket = this many times the longest frame: ~12% extra rows shuffled.
 DEFAULT_BUCKET_FACTOR = 8
+# A bucket that short against the frame copies a row so many times at most.
+MOST_COPIES = 64
 
 
 @dataclass(frozen=True)
@@ -42,25 +45,27 @@ def trailing_aggregates(df: DataFrame, key: str | list[str], ts: str,
 
     ``include_current=False`` gives the training frame ``[t-d, t-1]`` (no
     leakage of the current row or of rows with the same timestamp);
-    ``True`` gives the serving frame ``[t-d, t]``.  ``bucket_ms=-1`` picks
-    ``DEFAULT_BUCKET_FACTOR`` x the longest frame; ``None`` disables
-    salting (partition by key only).  ``default`` replaces empty frames.
-
-    ``per_time=True`` first reduces the rows to one per ``(key, time)``
-    (per-column sum / count / max / min, a partial aggregate before the
-    shuffle): both frames depend only on the key and the time, so every row
-    at one time gets the same values.  The frames then run over that table,
-    whose size per key and bucket is bounded by the bucket length in time
-    units, whatever the row rate, and the values are joined back on
-    ``(key, time)`` (one row per key and time on that side, so AQE's skew
-    join can split a hot key).  It costs one aggregation and one join more;
-    use it when one key can be both hot and dense.
+    ``True`` gives the serving frame ``[t-d, t]``.  ``default`` replaces
+    empty frames.  All plans give the plain window's answer; they differ in
+    cost only:
+
+    * the default reduces the rows to one per ``(key, time)`` (per-column sum,
+      count, max, min; combined before the shuffle), builds the frames of that
+      table from blocks, and joins them back on ``(key, time)``, where AQE's
+      skew join can split a hot key;
+    * ``per_time=False`` runs plain range windows over ``(key, bucket)`` in one
+      shuffle, with rows copied into the buckets they are visible from
+      (``bucket_ms=-1``: ``DEFAULT_BUCKET_FACTOR`` x the longest frame); its
+      cost grows with the rows in a frame, so it suits sparse series;
+    * ``bucket_ms=None`` is the plain window per key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not aggs:
         return df
-    if per_time:
-        return _per_time(df, keys, ts, aggs, include_current, bucket_ms, default)
+    if min(a.length_ms for a in aggs) < 1:
+        raise ValueError("frame lengths must be positive")
+    if per_time and bucket_ms is not None:
+        return _per_time(df, keys, ts, aggs, include_current, default)
     return _frames(df, keys, ts, aggs, include_current, bucket_ms, default)
 
 
@@ -68,42 +73,58 @@ _PARTS = {"avg": ("s", "n"), "sum": ("s", "n"), "count": ("n",), "max": ("x",),
 _PART_AGG = {"s": F.sum, "n": F.count, "x": F.max, "m": F.min}
 
 
-def _per_time(df, keys, ts, aggs, include_current, bucket_ms, default):
-    cols = sorted({a.column for a in aggs})
-    parts = sorted({(c, p) for a in aggs for c in [a.column] for p in _PARTS[a.agg]})
-    name = {(c, p): f"__{p}_{i}" for i, (c, p) in enumerate(parts)}
-    per = (df.where(F.col(ts).isNotNull()).groupBy(*keys, ts)
-             .agg(*[_PART_AGG[p](F.col(c)).alias(name[(c, p)]) for c, p in parts]))
-    # Frame aggregates of the per-time parts: sums of sums and counts,
-    # max of maxima, min of minima.
-    re_aggs = []
-    for a in aggs:
-        if a.agg in ("avg", "sum", "count"):
-            re_aggs.append(FrameAgg("psum", name[(a.column, "n")], a.length_ms, a.alias + "__n"))
-        if a.agg in ("avg", "sum"):
-            re_aggs.append(FrameAgg("psum", name[(a.column, "s")], a.length_ms, a.alias + "__s"))
-        if a.agg == "max":
-            re_aggs.append(FrameAgg("max", name[(a.column, "x")], a.length_ms, a.alias))
-        if a.agg == "min":
-            re_aggs.append(FrameAgg("min", name[(a.column, "m")], a.length_ms, a.alias))
-    framed = _frames(per, keys, ts, re_aggs, include_current, bucket_ms, None)
+def _blocks(per: DataFrame, keys: list[str], ts: str, names: dict, lengths: list[int],
+            include_current: bool) -> DataFrame:
+    """Per key, time and frame length (``__i`` indexes ``lengths``): two rows,
+    one with the running parts of the own block, one with those of the block
+    before, from ``t - d`` on."""
+    kinds = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("probe"),
+                               (F.col(ts) - d if p else F.col(ts)).alias("pos"),
+                               F.floor((F.col(ts) - d if p else F.col(ts)) / F.lit(d)).cast("bigint").alias("block"))
+                      for i, d in enumerate(lengths) for p in (False, True)])
+    rows = per.withColumn("__x", F.explode(kinds)).select(
+        *keys, F.col(ts), F.col("__x.i").alias("__i"), F.col("__x.probe").alias("__probe"),
+        F.col("__x.pos").alias("__pos"), F.col("__x.block").alias("__block"),
+        *[F.when(~F.col("__x.probe"), F.col(n)).alias(n) for n in names.values()])
+    part = Window.partitionBy(*keys, "__i", "__block")
+    own = part.orderBy("__pos").rangeBetween(Window.unboundedPreceding, 0 if include_current else -1)
+    before = part.orderBy(F.desc("__pos")).rangeBetween(Window.unboundedPreceding, 0)
+    outs = []
+    for (_, p), n in names.items():
+        fn = F.sum if p in "sn" else _PART_AGG[p]
+        outs.append(F.when(F.col("__probe"), fn(n).over(before)).otherwise(fn(n).over(own)).alias(n))
+    return rows.select(*keys, ts, "__i", *outs)
+
+
+def _per_time(df, keys, ts, aggs, include_current, default):
+    parts = sorted({(a.column, p) for a in aggs for p in _PARTS[a.agg]})
+    names = {(c, p): f"__{p}_{i}" for i, (c, p) in enumerate(parts)}
+    per = (df.where(F.col(ts).isNotNull()).groupBy(*keys, F.col(ts).cast("bigint").alias(ts))
+             .agg(*[_PART_AGG[p](F.col(c)).alias(names[(c, p)]) for c, p in parts]))
+    lengths = sorted({a.length_ms for a in aggs})
+    rows = _blocks(per, keys, ts, names, lengths, include_current)
+
+    def part(a, p):
+        n = names[(a.column, p)]
+        fn = F.sum if p in "sn" else _PART_AGG[p]
+        return fn(F.when(F.col("__i") == lengths.index(a.length_ms), F.col(n)))
+
     outs = []
     for a in aggs:
         if a.agg in ("avg", "sum", "count"):
-            n = F.col(a.alias + "__n")
+            n = F.coalesce(part(a, "n"), F.lit(0))
         if a.agg == "avg":
-            c = F.when(n > 0, F.col(a.alias + "__s").cast("double") / n)
+            c = F.when(n > 0, part(a, "s").cast("double") / n)
         elif a.agg == "sum":
-            c = F.when(n > 0, F.col(a.alias + "__s"))
+            c = F.when(n > 0, part(a, "s"))
         elif a.agg == "count":
             c = n
         else:
-            c = F.col(a.alias)
+            c = part(a, "x" if a.agg == "max" else "m")
         outs.append(c.alias(a.alias))
-    feats = framed.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                          F.col(ts).alias("__k_ts"), *outs)
+    feats = rows.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(ts).alias("__k_ts")).agg(*outs)
     # Null-safe on the keys: null-key rows get the frames of their own
-    # (null) group, as without pre-aggregation.
+    # (null) group, as in a plain window.
     cond = F.col(ts) == F.col("__k_ts")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
@@ -119,6 +140,9 @@ def _frames(df, keys, ts, aggs, include_current, bucket_ms, default):
     if bucket_ms == -1:
         bucket_ms = max(DEFAULT_BUCKET_FACTOR * halo, 1)
 
+    elif bucket_ms is not None and bucket_ms * MOST_COPIES < halo:
+        raise ValueError(f"a bucket of {bucket_ms} ms copies each row more than {MOST_COPIES} times")
+
     work = df
     part_cols = list(keys)
     if bucket_ms is not None:
@@ -130,46 +154,10 @@ def _frames(df, keys, ts, aggs, include_current, bucket_ms, default):
         part_cols = keys + ["__bucket"]
 
     base_spec = Window.partitionBy(*part_cols).orderBy(F.col(ts))
-    specs: dict = {}
-
-    def frame(lo, hi):
-        # One spec object per distinct frame (fewer driver-side calls when
-        # many columns share frames; Spark fuses them into one Window node).
-        if (lo, hi) not in specs:
-            specs[(lo, hi)] = base_spec.rangeBetween(lo, hi)
-        return specs[(lo, hi)]
-
-    def running(fn, col, hi):
-        return fn(F.col(col)).over(frame(Window.unboundedPreceding, hi))
-
-    zero = F.lit(0)
-
-    def frame_sum(col, length):
-        # Difference of two running frames: O(n) instead of re-aggregating
-        # every frame.  Running sums restart in every (key, bucket), which
-        # keeps them small relative to the frame sums.
-        lo_edge = -(length + 1)
-        return (F.coalesce(running(F.sum, col, upper), zero)
-                - F.coalesce(running(F.sum, col, lo_edge), zero))
-
+    specs = {d: base_spec.rangeBetween(-d, upper) for d in {a.length_ms for a in aggs}}
     out_cols: list[Column] = []
     for a in aggs:
-        if a.agg == "psum":
-            # Internal: plain frame sum of a non-null part column (0 if empty).
-            c = frame_sum(a.column, a.length_ms)
-        elif a.agg in ("avg", "sum", "count"):
-            s = frame_sum(a.column, a.length_ms)
-            lo_edge = -(a.length_ms + 1)
-            n = (running(F.count, a.column, upper)
-                 - F.coalesce(running(F.count, a.column, lo_edge), zero))
-            if a.agg == "avg":
-                c = F.when(n > 0, s.cast("double") / n)
-            elif a.agg == "sum":
-                c = F.when(n > 0, s)
-            else:
-                c = n
-        else:
-            c = _AGGS[a.agg](F.col(a.column)).over(frame(-a.length_ms, upper))
+        c = _AGGS[a.agg](F.col(a.column)).over(specs[a.length_ms])
         if default is not None:
             c = F.coalesce(c, F.lit(default))
         out_cols.append(c.alias(a.alias))

@@ -83,10 +83,19 @@ def q_roc_auc_single(spark, sf_dir):
     return M.roc_auc(fx.scores(events(spark, sf_dir)).where(F.col("y") == 0), "y", "p")
 
 
-@register("undersample")
+@register("undersample", TT_VIEWS + """, r AS (
+SELECT *, CAST('0x' || substr(md5(machine_id || '|' || epoch_ms(CAST(event_timestamp AS TIMESTAMP))), 1, 8) AS BIGINT) AS h
+FROM tt)
+SELECT * EXCLUDE (h, rk, nc, n) FROM (
+  SELECT *, row_number() OVER (PARTITION BY faulty ORDER BY h) AS rk, count(*) OVER (PARTITION BY faulty) AS nc,
+    count(*) OVER () AS n FROM r) t
+WHERE rk <= round_even(nc * least(1.0, CAST(2000 AS DOUBLE) / n), 0)""")
 def q_undersample(spark, sf_dir):
+    """DOR-2: an exact share of each class, by a hash that both engines have."""
     t = training(spark, sf_dir)
-    return sp.undersample(t, target_rows=2_000)
+    key = F.concat_ws("|", F.col("machine_id").cast("string"), F.unix_millis("event_timestamp").cast("string"))
+    order = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return sp.undersample(t, target_rows=2_000, order=order)
 
 
 # ---- model: train, register, score (rows-only checks) -----------------------

@@ -78,19 +78,23 @@ def q_running_count(spark, sf_dir):
 
 @register("stream_alerts", VS + """, t AS (
 SELECT 'window_mean' AS kind, machine_id, w * 10000 AS window_start_ms, w * 10000 + 10000 AS window_end_ms,
-  avg(temperature_C) / 100.0 AS value, CAST(NULL AS BIGINT) AS timestamp_ms
+  avg(temperature_C) / 100.0 AS value, CAST(NULL AS BIGINT) AS timestamp_ms,
+  CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS DOUBLE) AS temperature_C, CAST(NULL AS DOUBLE) AS vibration_mm_per_s,
+  CAST(NULL AS DOUBLE) AS pressure_kPa, CAST(NULL AS DOUBLE) AS rotor_speed_rpm, CAST(NULL AS VARCHAR) AS machine_type,
+  CAST(NULL AS INTEGER) AS faulty
 FROM (SELECT *, timestamp_ms // 10000 AS w FROM sensor_scaled) s
 GROUP BY machine_id, w
 HAVING w * 10000 + 10000 <= (SELECT max(timestamp_ms) FROM sensor_scaled) - 1000)
 SELECT * FROM t
 UNION ALL
 SELECT 'threshold' AS kind, machine_id, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-  temperature_C / 100.0, timestamp_ms FROM sensor_scaled WHERE temperature_C > 5000""")
+  temperature_C / 100.0, timestamp_ms, event_id, temperature_C / 100.0, vibration_mm_per_s / 100.0,
+  pressure_kPa / 100.0, rotor_speed_rpm / 100.0, machine_type, faulty FROM sensor_scaled WHERE temperature_C > 5000""")
 def q_stream_alerts(spark, sf_dir):
     ensure_utc(spark)
     out = _run(spark, "alerts", sw.alerts(ss.reading_stream(spark, sf_dir, scaled=True),
                                           "temperature_C", threshold=5000.0))
-    return unscale(out, ["value"])
+    return unscale(out, ["value", *SENSORS])
 
 
 @register("stream_store_writes", VS + ", " + __import__(
@@ -147,14 +151,18 @@ for _kind, _name in (("max_", "stream_sliding_max"), ("avg_", "stream_sliding_me
 
 @register("alerts", VS + """, t AS (
 SELECT 'window_mean' AS kind, machine_id, w * 10000 AS window_start_ms, w * 10000 + 10000 AS window_end_ms,
-  avg(temperature_C) / 100.0 AS value, CAST(NULL AS BIGINT) AS timestamp_ms
+  avg(temperature_C) / 100.0 AS value, CAST(NULL AS BIGINT) AS timestamp_ms,
+  CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS DOUBLE) AS temperature_C, CAST(NULL AS DOUBLE) AS vibration_mm_per_s,
+  CAST(NULL AS DOUBLE) AS pressure_kPa, CAST(NULL AS DOUBLE) AS rotor_speed_rpm, CAST(NULL AS VARCHAR) AS machine_type,
+  CAST(NULL AS INTEGER) AS faulty
 FROM (SELECT *, timestamp_ms // 10000 AS w FROM sensor_scaled) s GROUP BY machine_id, w)
 SELECT * FROM t
 UNION ALL
 SELECT 'threshold' AS kind, machine_id, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-  temperature_C / 100.0, timestamp_ms FROM sensor_scaled WHERE temperature_C > 5000""")
+  temperature_C / 100.0, timestamp_ms, event_id, temperature_C / 100.0, vibration_mm_per_s / 100.0,
+  pressure_kPa / 100.0, rotor_speed_rpm / 100.0, machine_type, faulty FROM sensor_scaled WHERE temperature_C > 5000""")
 def q_alerts(spark, sf_dir):
     """FLT-4 + SET-1 in batch form: every tumbling window (a batch has no
     open windows) plus the threshold rows, one tagged table."""
     r = sensor_scaled(spark, sf_dir).withColumn("event_time", F.timestamp_millis("timestamp_ms"))
-    return unscale(sw.alerts(r, "temperature_C", threshold=5000.0), ["value"])
+    return unscale(sw.alerts(r, "temperature_C", threshold=5000.0), ["value", *SENSORS])

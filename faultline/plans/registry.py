@@ -53,11 +53,6 @@ def unscale(df: DataFrame, cols, factor: float = 100.0) -> DataFrame:
                        else F.col(c) for c in df.columns])
 
 
-def round_avgs(df: DataFrame, digits: int = 6, prefixes=("avg_", "mean_")) -> DataFrame:
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c.startswith(prefixes) else F.col(c)
-                       for c in df.columns])
-
-
 # Import the query modules so that they register themselves.
 from faultline.plans import (queries_batch, queries_model, queries_scalar,  # noqa: E402,F401,I001
                              queries_store, queries_stream)

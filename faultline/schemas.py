@@ -26,7 +26,11 @@ PROBA_DIGITS = 3                              # published probability at 3 dp
 TUMBLE_SECONDS = 10                           # alert window
 TUMBLE_GRACE_SECONDS = 1
 ALERT_THRESHOLD = 6.0
-MODEL_NAME = "fault_model_base"
+PREVIEW_COLUMNS = ["machine_id", "temperature_C", "avg_temperature_C_1h",
+                   "avg_temperature_C_5min", "max_temperature_C_1min",
+                   "vibration_mm_per_s", "pressure_kPa", "rotor_speed_rpm",
+                   "machine_type", "faulty"]
+MODEL_NAME = "faultline_forest"
 # ---------------------------------------------------------------------------
 
 # Window families: (aggregate, frame length in ms, name suffix).
@@ -49,8 +53,6 @@ ORDERED_NUMERIC_FEATURES = [n for s in SENSORS for n in (
     feature_name("max", s, "1min"))]
 CATEGORICAL_FEATURES = ["machine_type"]
 ORDERED_FEATURE_NAMES = ORDERED_NUMERIC_FEATURES + CATEGORICAL_FEATURES
-TRAINING_FEATURES = [feature_name(a, s, suf) for (a, _, suf) in WINDOW_FAMILIES
-                     for s in SENSORS]
 
 SENSOR_SCHEMA = StructType([
     StructField("machine_id", IntegerType(), False),
@@ -70,12 +72,3 @@ STREAM_SCHEMA = StructType([
     StructField("is_under_load", BooleanType(), True),
     StructField("faulty", BooleanType(), True),
 ])
-
-# Long, append-only online feature table (one row per write).
-FEATURE_STORE_SCHEMA = StructType([
-    StructField("machine_id", IntegerType(), False),
-    StructField("feature_name", StringType(), False),
-    StructField("value", DoubleType(), True),
-    StructField("written_at_ms", LongType(), False),
-    StructField("expires_at_ms", LongType(), False),
-])

@@ -96,7 +96,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
     file system).  Only when the setting is absent (local tests) do we create
-    one under the system temp directory and register it.
+    one under the system temp directory and register it; any other master
+    needs the setting, as its machines share no temporary folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -104,6 +105,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     if not root:
         root = tempfile.mkdtemp(prefix="faultline-ckpt-")
         sc.setCheckpointDir(root)

@@ -67,22 +67,18 @@ def topic_sink(frames: DataFrame, servers: str, topic: str, checkpoint: str):
 
 def replay_events(spark: SparkSession, sf_dir: str, max_files: int | None = None,
                   max_bytes: int | None = None) -> DataFrame:
-    """The provided ``events`` table as a stream (file source).  A single
-    ``events.parquet`` file is picked out of its folder with a glob filter;
-    an ``events.parquet`` directory of part files is streamed as is.
+    """The provided ``events`` table as a stream (file source), by any path
+    that Spark can read.  The source wants a folder or a glob: as a glob, the
+    table may be one file or a directory of part files.
     ``max_files`` or ``max_bytes`` (one of the two, bytes as an integer)
     caps one micro-batch; the rest follows in later micro-batches
     (``availableNow`` honours both)."""
-    import os
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         r = r.option("maxBytesPerTrigger", max_bytes)
-    if os.path.isdir(path):
-        return r.parquet(path)
-    return r.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    return r.parquet(f"{sf_dir.rstrip('/')}/[e]vents.parquet")
 
 
 def reading_stream(spark: SparkSession, sf_dir: str, scaled: bool = False,
@@ -100,11 +96,3 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append
     q = (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(path))
     q.awaitTermination()
-
-
-def run_available_batches(df: DataFrame, fn, checkpoint: str, mode: str = "append") -> None:
-    """Run a streaming query over everything available through
-    ``foreachBatch`` (sinks that need per-batch logic, e.g. SNK-4)."""
-    q = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-         .foreachBatch(fn).trigger(availableNow=True).start())
-    q.awaitTermination()
