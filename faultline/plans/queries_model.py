@@ -9,7 +9,8 @@ from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
 from faultline.plans.queries_batch import _training_query, _training_sql
 from faultline.plans.registry import events, register, sensor_scaled, unscale
-from faultline.schemas import SENSORS, WINDOW_FAMILIES
+from faultline.schemas import MODEL_NAME, SENSORS, WINDOW_FAMILIES
+from faultline.session import scratch_path
 from faultline.sources import fixtures as fx
 
 # The training-table SQL is "WITH <fixture views>\nSELECT ..."; expose it as view ``tt``.
@@ -102,13 +103,13 @@ def q_undersample(spark, sf_dir):
 
 def _train(spark, sf_dir):
     from faultline.operators import model as ml
-    return ml.train_and_evaluate(training(spark, sf_dir))
+    return ml.train(training(spark, sf_dir))
 
 
 @register("rf_test_scores")
 def q_rf_test_scores(spark, sf_dir):
     """ML-1..5 + PRJ-7/8: fit on the past 80 %, score the future 20 %."""
-    _, scored, _ = _train(spark, sf_dir)
+    _, scored = _train(spark, sf_dir)
     return scored.select(
         "machine_id", F.unix_millis("event_timestamp").alias("timestamp_ms"), "faulty",
         F.col("prediction").cast("int").alias("prediction"),
@@ -116,17 +117,56 @@ def q_rf_test_scores(spark, sf_dir):
         (F.col("faulty_proba_raw") >= F.lit(0.3)).alias("flagged"))
 
 
+@register("rf_test_facts", TT_VIEWS + """SELECT machine_id, epoch_ms(CAST(event_timestamp AS TIMESTAMP)) AS timestamp_ms, faulty,
+  true AS probability_ok, true AS prediction_ok FROM (
+  SELECT *, row_number() OVER (ORDER BY event_timestamp, machine_id) AS position, count(*) OVER () AS n FROM tt) t
+WHERE position > floor(n * 0.8)""")
+def q_rf_test_facts(spark, sf_dir):
+    """What must hold whatever the trees: the test rows, probabilities from 0
+    to 1, and the more probable class as the prediction."""
+    _, scored = _train(spark, sf_dir)
+    p = F.col("faulty_proba_raw")
+    return scored.select("machine_id", F.unix_millis("event_timestamp").alias("timestamp_ms"), "faulty",
+                         p.between(0, 1).alias("probability_ok"),
+                         (F.col("prediction") == (p > 0.5).cast("int")).alias("prediction_ok"))
+
+
+@register("model_run_facts", """SELECT 'faultline_forest' AS name, 1 AS version, 'Production' AS stage,
+  true AS auc_ok, true AS loaded_ok""")
+def q_model_run_facts(spark, sf_dir):
+    """A registered run: its AUC is Spark's own, its last stage the promoted
+    one, and the loaded model scores like the fitted one."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from faultline.operators import model as ml
+    base = scratch_path(spark, "models")
+    model, scored = _train(spark, sf_dir)
+    log = f"{base}/model_runs"
+    ml.register_run(spark, model, ml.evaluate(scored), f"{base}/artifacts", log)
+    ml.transition_stage(spark, log, MODEL_NAME, 1, "Production")
+    loaded = ml.load_model(spark, log)
+    auc = BinaryClassificationEvaluator(rawPredictionCol="faulty_proba_raw", labelCol="faulty", numBins=0).evaluate(scored)
+    again = ml.fault_probability(loaded, scored.drop("faulty_proba_raw", "prediction"))
+    keys = ["machine_id", "event_timestamp"]
+    off = (scored.select(*keys, F.col("faulty_proba_raw").alias("p"))
+           .join(again.select(*keys, F.col("faulty_proba_raw").alias("q")), keys)
+           .agg(F.max(F.abs(F.col("p") - F.col("q"))).alias("off"), F.count("*").alias("n")))
+    runs = spark.read.parquet(log).groupBy("name", "version").agg(
+        F.max_by("stage", "created_at").alias("stage"), F.max("roc_auc").alias("auc"))
+    return runs.crossJoin(off).select("name", "version", "stage", (F.abs(F.col("auc") - F.lit(auc)) < 1e-9).alias("auc_ok"),
+                                      ((F.col("off") < 1e-12) & (F.col("n") > 0)).alias("loaded_ok"))
+
+
 @register("model_runs")
 def q_model_runs(spark, sf_dir):
     """SNK-5/6 + ML-7/8: register a version, promote it, load it back."""
     from faultline.operators import model as ml
-    from faultline.session import scratch_path
     base = scratch_path(spark, "models")
-    model, _, metrics = _train(spark, sf_dir)
+    model, scored = _train(spark, sf_dir)
     example = ml.input_example(training(spark, sf_dir))
-    row = ml.register_run(spark, model, metrics, f"{base}/artifacts", f"{base}/model_runs",
-                          example=example)
-    ml.transition_stage(spark, f"{base}/model_runs", row.first()["name"], 1, "Production")
+    ml.register_run(spark, model, ml.evaluate(scored), f"{base}/artifacts", f"{base}/model_runs",
+                    example=example)
+    ml.transition_stage(spark, f"{base}/model_runs", MODEL_NAME, 1, "Production")
     ml.load_model(spark, f"{base}/model_runs", stage="Production")
     return spark.read.parquet(f"{base}/model_runs")
 
@@ -138,7 +178,7 @@ def q_fault_predictions(spark, sf_dir):
     from faultline.operators import model as ml
     from faultline.operators.scoring import feature_vectors, prediction_records
     from faultline.plans.queries_store import _stream_writes, q_periodic_materialize
-    model, _, _ = _train(spark, sf_dir)
+    model, _ = _train(spark, sf_dir)
     r = sensor_scaled(spark, sf_dir)
     store = q_periodic_materialize(spark, sf_dir).unionByName(_stream_writes(r))
     ev = unscale(r.select("machine_id", "timestamp_ms", "machine_type", *SENSORS), SENSORS)

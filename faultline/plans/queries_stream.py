@@ -120,7 +120,7 @@ def q_stream_predictions(spark, sf_dir):
     from faultline.streaming.jobs import feature_writer, scorer
     ensure_utc(spark)
     base = scratch_path(spark, "scoring")
-    model, _, _ = _train(spark, sf_dir)
+    model, _ = _train(spark, sf_dir)
     readings = sensor_scaled(spark, sf_dir)
     st.append(st.materialize_periodic(unscale(readings, SENSORS), 300_000), f"{base}/store",
               "batch-periodic")
