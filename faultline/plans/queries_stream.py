@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
-from faultline.plans.registry import register, sensor_scaled, unscale
+from faultline.plans.registry import register, sensor, sensor_scaled, unscale
 from faultline.schemas import SENSORS, STREAM_FEATURES
 from faultline.session import ensure_utc, scratch_path
 from faultline.streaming import sources as ss
@@ -55,6 +55,37 @@ def q_stream_sliding(spark, sf_dir):
                     *[F.round(F.col(n), 2).alias(n) for n in STREAM_FEATURES])
 
 
+@register("stream_json_decode", V + """
+SELECT event_id, CAST(machine_id AS VARCHAR) AS key, machine_id,
+  CASE WHEN event_id % 97 <> 5 THEN timestamp_ms END AS timestamp_ms,
+  CASE WHEN event_id % 97 <> 5 THEN temperature_C END AS temperature_C,
+  CASE WHEN event_id % 97 <> 5 THEN rotor_speed_rpm END AS rotor_speed_rpm,
+  CASE WHEN event_id % 97 <> 5 THEN machine_type END AS machine_type,
+  CASE WHEN event_id % 97 <> 5 THEN faulty END AS faulty, event_id % 97 = 5 AS rejected
+FROM sensor""")
+def q_stream_json_decode(spark, sf_dir):
+    """SRC-6 on a stream: keyed JSON records with headers, some of them
+    malformed, decoded from files; what has no key or time is rejected."""
+    ensure_utc(spark)
+    s = sensor(spark, sf_dir)
+    payload = F.to_json(F.struct("machine_id", "timestamp_ms", *SENSORS, "machine_type",
+                                 (F.col("faulty") == 1).alias("faulty")))
+    frames = s.select(
+        F.col("machine_id").cast("string").cast("binary").alias("key"),
+        F.when(F.col("event_id") % 97 == 5, F.lit('{"machine_id": ')).otherwise(payload).cast("binary").alias("value"),
+        F.current_timestamp().alias("timestamp"),
+        F.array(F.struct(F.lit("event").alias("key"), F.col("event_id").cast("string").cast("binary").alias("value")))
+        .alias("headers"))
+    base = scratch_path(spark, "records")
+    frames.write.parquet(f"{base}/topic")
+    decoded = ss.decode_readings(spark.readStream.schema(frames.schema).parquet(f"{base}/topic"))
+    bad = F.col("machine_id").isNull() | F.col("timestamp_ms").isNull()
+    ss.run_available(decoded.withColumn("rejected", bad), f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out").select(
+        F.col("headers")[0]["value"].cast("string").cast("bigint").alias("event_id"), "key", "machine_id", "timestamp_ms",
+        "temperature_C", "rotor_speed_rpm", "machine_type", "faulty", "rejected")
+
+
 @register("stream_running_count", VS + """
 SELECT machine_id, event_id, timestamp_ms,
   count(*) OVER (PARTITION BY machine_id ORDER BY timestamp_ms, event_id

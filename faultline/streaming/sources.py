@@ -42,12 +42,15 @@ def topic_source(spark: SparkSession, servers: str, topic: str,
 def decode_readings(frames: DataFrame) -> DataFrame:
     """SRC-6 + PRJ-6: key bytes -> machine id; JSON value -> reading columns
     (``faulty`` boolean -> int, PRJ-5).  Broker time is kept as
-    ``broker_ts``; event time is the payload ``timestamp_ms``."""
+    ``broker_ts``, headers if the frames have them; event time is the payload
+    ``timestamp_ms``.  A malformed value leaves its fields null (see
+    ``windows.rejects``)."""
+    kept = [F.col("headers")] if "headers" in frames.columns else []
     v = F.from_json(F.col("value").cast("string"), STREAM_SCHEMA)
     return frames.select(
         F.col("key").cast("string").alias("key"),
-        F.col("timestamp").alias("broker_ts"), v.alias("r")).select(
-        "key", "broker_ts",
+        F.col("timestamp").alias("broker_ts"), v.alias("r"), *kept).select(
+        "key", "broker_ts", *kept,
         F.coalesce(F.col("r.machine_id"), F.col("key").try_cast("int")).alias("machine_id"),
         "r.timestamp_ms", *[f"r.{s}" for s in SENSORS], "r.machine_type",
         "r.is_under_load", F.col("r.faulty").cast("int").alias("faulty"))
