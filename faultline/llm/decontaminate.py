@@ -4,12 +4,17 @@ Texts are lower-cased words between ASCII white space, read as sequences of
 5-word shingles (an item of fewer words is one shingle).  For each item, the
 windows of as many words as the item has are compared with it:
 
-1. A window that shares no shingle with the item can't be similar, so windows
-   are laid where a shared shingle aligns the two.
+1. A similar window shares at least ``SIMILARITY`` of the item's shingles.  A
+   shared shingle counts for a run of offsets: those whose window holds it and
+   not yet as many equal ones as the item has.  The ends of these runs, summed
+   in order, give what the window at every offset shares with the item,
+   wherever its parts stand, and windows are laid at each offset that has
+   enough.
 2. Each window and item gets a 64-bit SimHash of its shingles, weighted by
    how often they occur.  The 64 bits are cut into ``RADIUS + 1`` blocks; two
    fingerprints within the radius agree in one block at least, so a join on
    blocks finds all of them.
+   Windows overlap, so their sums of bits are differences of running sums.
 3. Windows within the radius are verified by the weighted Jaccard similarity
    of their shingle counts, sum of minima over sum of maxima, at least
    ``SIMILARITY``.
@@ -25,7 +30,7 @@ text are all reported.  Windows at a document's ends may be cut short.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.llm import shared
@@ -75,43 +80,75 @@ def blocks(df: DataFrame, radius: int) -> DataFrame:
     return df.select("*", F.explode(F.array(*parts)).alias("x")).select(*df.columns, "x.block", "x.value")
 
 
+def laid(hits: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(th, item, s, a, b, size, similarity): the windows at all offsets ``s``
+    that are similar, over the shingles from ``a`` to before ``b``."""
+    # an occurrence counts unless the window holds the c-th one before it, too
+    at = F.transform("at", lambda p, i: F.struct(p.alias("p"), F.get("at", i - F.col("c").cast("int")).alias("old")))
+    first = F.greatest(F.col("x.p") - F.col("m") + k, F.col("x.old") + 1)
+    steps = F.array(F.struct(first.alias("s"), F.lit(1).alias("d")), F.struct((F.col("x.p") + 1).alias("s"), F.lit(-1).alias("d")))
+    rows = (hits.groupBy("th", "n", "item", "m", "c", "h").agg(F.sort_array(F.collect_list("p")).alias("at"))
+            .select("th", "n", "item", "m", F.explode(at).alias("x"))
+            .select("th", "n", "item", "m", F.explode(steps).alias("e"))
+            .groupBy("th", "n", "item", "m", F.col("e.s").alias("s")).agg(F.sum("e.d").alias("d")))
+    order = Window.partitionBy("th", "item").orderBy("s")
+    item_size = F.col("m") - k + 1
+    size = F.col("b") - F.col("a")
+    sim = F.col("same") / (size + item_size - F.col("same"))
+    return (rows.withColumn("same", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("end", F.lead("s").over(order))
+            .where(F.col("end").isNotNull() & (F.col("same") > 0) & (F.col("same") + 1e-9 >= similarity * item_size))
+            .select("th", "n", "item", "m", "same", F.explode(F.sequence("s", F.col("end") - 1)).alias("s"))
+            .withColumn("a", F.greatest("s", F.lit(0)))
+            .withColumn("b", F.least(F.col("s") + F.col("m"), F.col("n")) - k + 1).where("b > a")
+            .select("th", "item", "s", "a", "b", size.alias("size"), sim.alias("similarity"))
+            .where(F.col("similarity") >= similarity))
+
+
+def window_prints(windows: DataFrame, grams: DataFrame) -> DataFrame:
+    """``windows`` with the SimHash of their shingles in ``grams`` (th, p, h),
+    from running sums read at both ends of each window."""
+    ends = F.array(F.struct(F.col("a").alias("p"), F.lit(-1).alias("sign")), F.struct(F.col("b").alias("p"), F.lit(1).alias("sign")))
+    keys = ["th", "item", "s", "size", "similarity"]
+    ends = windows.select(*keys, F.explode(ends).alias("e")).select(*keys, "e.p", "e.sign", F.lit(0).cast("long").alias("h"))
+    rows = ends.unionByName(grams.withColumn("sign", F.lit(0)), allowMissingColumns=True)
+    # an end comes before the shingle at its place; a sum holds the bits j and j + 32, 32 bits apart
+    order = Window.partitionBy("th").orderBy("p", F.abs("sign").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    two = F.lit((1 << 32) + 1)
+    sums = [F.sum(F.shiftright("h", j).bitwiseAND(two)).over(order).alias(f"b{j}") for j in range(32)]
+    got = (rows.select(*keys, "sign", *sums).where("sign != 0")
+           .groupBy(*keys).agg(*[F.sum(F.col("sign") * F.col(f"b{j}")).alias(f"b{j}") for j in range(32)]))
+    print_ = F.lit(0).cast("long")
+    for b in range(64):
+        n = F.shiftright(f"b{b - 32}", 32) if b >= 32 else F.col(f"b{b}").bitwiseAND(F.lit((1 << 32) - 1))
+        print_ = print_.bitwiseOR(F.shiftleft((2 * n > F.col("size")).cast("long"), b))
+    return got.select(*keys, print_.alias("print"))
+
+
 def matches(docs: DataFrame, items: DataFrame, k: int, similarity: float, radius: int) -> DataFrame:
     """(text_hash, item, similarity): similar windows among texts and the items of shingle length ``k``."""
-    # item: hash of its text, m words, q position of the shingle h
-    item_rows = items.select("item", F.col("n").alias("m"), F.posexplode("shingles").alias("q", "h"))
-    item_rows = shared.stored(item_rows, "items")
-    places = item_rows.select("item", "m", "q", "h")
+    # item: hash of its text, m words; c: how often it has the shingle h
+    item_rows = shared.stored(items.select("item", F.col("n").alias("m"), F.explode("shingles").alias("h")), "items")
+    places = item_rows.groupBy("item", "m", "h").agg(F.count("*").alias("c"))
 
     texts = docs.select(text_hash().alias("th"), "text").where("text is not null")
     # the outer form: for the inner one Spark would compute the array once more, to filter empty ones
-    hits = (with_shingles(texts, k).select("th", F.posexplode_outer("shingles").alias("p", "h"))
-            .join(bounded(places), "h").select("th", "item", "m", (F.col("p") - F.col("q")).alias("s")).distinct())
-    hits = shared.stored(hits, "windows")
-
-    found = bounded(hits.select("th").distinct())
-    bodies = with_shingles(texts.join(found, "th", "left_semi"), k).select("th", "n", "shingles") \
-        .dropDuplicates(["th"])
-    windows = (hits.join(bodies, "th")
-               .withColumn("a", F.greatest("s", F.lit(0)))
-               .withColumn("b", F.least(F.col("s") + F.col("m"), F.col("n")) - k + 1)
-               .where("b > a")
-               .select("th", "item", "s", F.explode(F.slice("shingles", F.col("a") + 1, F.col("b") - F.col("a"))).alias("h")))
-    windows = shared.stored(windows, "grams")
-    window = ["th", "item", "s"]
-
-    near = (blocks(fingerprints(windows, window), radius)
+    hits = (with_shingles(texts, k).select("th", "n", F.posexplode_outer("shingles").alias("p", "h"))
+            .join(bounded(places), "h").select("th", "n", "item", "m", "c", "h", "p").distinct())
+    hits = shared.stored(hits, "hits")
+    windows = shared.stored(laid(hits, k, similarity), "windows")
+
+    found = bounded(windows.groupBy("th").agg(F.min("a").alias("a"), F.max("b").alias("b")))
+    bodies = (with_shingles(texts.join(found, "th", "left_semi"), k).select("th", "shingles").dropDuplicates(["th"])
+              .join(found, "th").select("th", "a", F.slice("shingles", F.col("a") + 1, F.col("b") - F.col("a")).alias("g")))
+    grams = bodies.select("th", "a", F.posexplode("g").alias("i", "h")).select("th", (F.col("a") + F.col("i")).alias("p"), "h")
+    prints = shared.stored(window_prints(windows, grams), "prints")
+
+    near = (blocks(prints, radius)
             .join(blocks(fingerprints(item_rows, ["item"]), radius)
-                  .select("item", "block", "value", F.col("print").alias("item_print"),
-                          F.col("size").alias("item_size")), ["item", "block", "value"])
-            .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-            .select(*window, "size", "item_size").distinct())
-    counts = windows.groupBy(*window, "h").agg(F.count("*").alias("c"))
-    item_counts = item_rows.groupBy("item", "h").agg(F.count("*").alias("ic"))
-    same = (counts.join(item_counts, ["item", "h"]).groupBy(*window)
-            .agg(F.sum(F.least("c", "ic")).alias("same")))
-    sim = F.col("same") / (F.col("size") + F.col("item_size") - F.col("same"))
-    return (near.join(same, window).withColumn("similarity", sim).where(F.col("similarity") >= similarity)
-            .groupBy("th", "item").agg(F.max("similarity").alias("similarity")))
+                  .select("item", "block", "value", F.col("print").alias("item_print")), ["item", "block", "value"])
+            .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius))
+    return near.groupBy("th", "item").agg(F.max("similarity").alias("similarity"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:

@@ -71,3 +71,21 @@ def test_stage_drops_leaks_only(spark, tmp_path):
 def test_main_path_runs_no_python(spark):
     plan = decontaminate.query(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_items_in_another_order(spark):
+    """Halves swapped, sentences rotated, and repeats, inside other text and at its ends."""
+    shared.prepare(spark)
+    items = [(1, prose(80, 60)), (2, prose(81, 90)), (3, prose(82, 12) + " " + prose(82, 12) + " " + prose(83, 40))]
+    one, two, three = (t.split() for _, t in items)
+    swap = lambda w, *at: " ".join(" ".join(w[i:j]) for i, j in at)
+    rows = [(1, f"{prose(90, 50)} {swap(one, (30, 60), (0, 30))} {prose(91, 50)}"), (2, swap(one, (30, 60), (0, 30))),
+            (3, f"{prose(92, 50)} {swap(two, (60, 90), (0, 30), (30, 60))}"),
+            (4, f"{swap(one, (45, 60), (30, 45), (15, 30), (0, 15))} {prose(93, 30)}"),
+            (5, f"{prose(94, 20)} {swap(three, (24, 64), (0, 24))} {prose(94, 20)}"),
+            (6, f"{swap(three, (24, 64), (0, 12))} {prose(95, 12)}"), (7, f"{swap(one, (30, 60))} {prose(96, 9)} {swap(one, (0, 30))}"),
+            (8, " ".join([prose(82, 12)] * 9)), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(decontaminate.flag(docs, spark.createDataFrame(items, "item_id long, text string")))
+    assert got == brute(rows, items)
+    assert dict(got)[1] == [1] and dict(got)[2] == [1] and dict(got)[3] == [2] and dict(got)[5] == [3]
