@@ -24,10 +24,10 @@ when ``100 * intersection >= 80 * union``.  Steps:
    partial counts are summed per pair.
 
 Defined results: empty, blank and null texts have an empty set, size 0, and
-are alone.  Repeated rows get equal results.  Rows with a null doc_id link
-only through equal sets; a component of such rows alone has a null id.  Rows
-that repeat a doc_id with another text are separate texts.  Other columns are
-ignored.  An empty table gives an empty result.
+are alone.  Repeated rows get equal results.  Rows with a null doc_id link as
+others do; a component of such rows alone has a null id.  Rows that repeat a
+doc_id with another text are separate texts.  Other columns are ignored.  An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -63,16 +63,17 @@ def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, cls, n): class and set size of each row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64())])
+    """(doc_id, th, cls, n): text hash, class and set size of each row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("cls", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [(class_of(s), len(s)) for s in text.shingle_sets(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in got], pa.int64()),
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([x[0] for x in got], pa.int64()),
                                               pa.array([x[1] for x in got], pa.int64())], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, cls long, n long")
+    return (docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+            .mapInArrow(run, "doc_id long, th long, cls long, n long"))
 
 
 def lone_counts(docs: DataFrame, buckets: int) -> DataFrame:
@@ -129,22 +130,27 @@ def lone_counts(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def shingle_tables(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, n, grams): sorted shingle hashes of the classes in ``wanted`` (cls, rep)."""
-    bits = shared.BitFilter(wanted, "rep")
+    """(cls, n, grams): sorted shingle hashes of the classes in ``wanted`` (cls,
+    rep), from a row whose doc_id is rep, which is null for classes without ids."""
+    bits = shared.BitFilter(wanted.where("rep is not null"), "rep")
+    nameless = not wanted.where("rep is null").isEmpty()
     schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(bits.has(ids)))
-            sets = list(text.shingle_sets(batch.column(1)))
+            batch = batch.filter(pa.array(np.where(null, nameless, bits.has(ids))))
+            ids, sets = batch.column(0).to_pylist(), list(text.shingle_sets(batch.column(1)))
+            rows = {(i, class_of(s)): s for i, s in zip(ids, sets)}  # copies in a batch go once
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([class_of(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+                [pa.array([i for i, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.int64()),
+                 pa.array([len(s) for s in rows.values()], pa.int64()),
+                 pa.array([s.tobytes() for s in rows.values()], pa.binary())], schema=schema)
 
+    wanted = wanted.select("rep", F.col("cls").alias("wanted"))
     return (docs.mapInArrow(run, "doc_id long, cls long, n long, grams binary")
-            .join(wanted.select(F.col("rep").alias("doc_id"), "cls"), ["doc_id", "cls"], "left_semi")
+            .join(wanted, (F.col("cls") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
             .dropDuplicates(["cls"]).drop("doc_id"))
 
 
@@ -241,18 +247,19 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where("100 * i >= 80 * (total - i)").select("a", "b"))
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+def parted(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, n, cls, root, component_id) of every row of ``docs`` (doc_id,
+    text): root is a class of its component, null for empty sets."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = shared.stored(signatures(docs), "sig")
     classes = rows.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("rep"))
     lone = lone_counts(docs, 2 * shared.shuffle_partitions(spark))
-    wanted = shared.stored(classes.join(lone, "cls", "left").where("rep is not null and 5 * coalesce(lone, 0) <= n")
+    wanted = shared.stored(classes.join(lone, "cls", "left").where("5 * coalesce(lone, 0) <= n")
                            .select("cls", "rep"), "viable")
     sets = shared.stored(shingle_tables(docs, wanted), "sets")
-    heads = shared.stored(prefixes(sets), "prefix")
-    prefix = heads.select("cls", "n", "s", F.posexplode("pre").alias("r", "h"))
+    prefixed = shared.stored(prefixes(sets), "prefix")
+    prefix = prefixed.select("cls", "n", "s", F.posexplode("pre").alias("r", "h"))
 
     # stars: each class with the leader that leads most of its groups; a group
     # is led by the class with the fewest n-grams of its own
@@ -269,7 +276,7 @@ def link(docs: DataFrame) -> DataFrame:
     # all candidates that are left between different components
     spread = prefix.join(parts.withColumnRenamed("node", "cls"), "cls")
     mixed = spread.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    spread = shared.stored(spread.join(mixed.select("h"), "h").join(heads.select("cls", "pre"), "cls"), "spread")
+    spread = shared.stored(spread.join(mixed.select("h"), "h").join(prefixed.select("cls", "pre"), "cls"), "spread")
     rest = candidates(spread)
     more = shared.stored(verify(rest, sets), "links")
     merged = shared.components(
@@ -283,20 +290,46 @@ def link(docs: DataFrame) -> DataFrame:
     named = classes.select("cls", "rep").join(parts, "cls", "left") \
         .select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     roots = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(roots, "root").select("cls", "component_id")
-    return (rows.join(named, "cls", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    named = named.join(roots, "root").select("cls", "root", "component_id")
+    return rows.join(named, "cls", "left").select("doc_id", "th", "n", "cls", "root", "component_id")
+
+
+def link(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    return parted(docs).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def heads(rows: DataFrame) -> DataFrame:
+    """(doc_id, th, every): the texts that stay, of ``parted`` rows; ``every``
+    row of them or one."""
+    several = (rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
+               .where("x < y").select("doc_id", F.lit(True).alias("several")))
+    # a component's head is a document with one text, if it has any
+    rank = F.struct(F.coalesce("several", F.lit(False)).alias("several"), F.col("doc_id").isNull().alias("nameless"),
+                    "doc_id", "cls", "th", "n")
+    full = (rows.where("n > 0").select("doc_id", "th", "n", "cls", "root").distinct().join(several, "doc_id", "left")
+            .groupBy("root").agg(F.min(rank).alias("r")).select("r.doc_id", "r.th", "r.n"))
+    empty = rows.where("n = 0").select("doc_id", "th", "n").distinct()
+    both = full.union(empty)
+    named = (both.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "th")).alias("r"))
+             .select("doc_id", "r.th", F.lit(False).alias("every")))
+    return named.union(both.where("doc_id is null").select("doc_id", "th", F.col("n") == 0))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of linked documents the one with the
-    smallest doc_id stays; rows that repeat a doc_id count as one document."""
+    """Pipeline stage: of each group of linked texts one row stays, that with the
+    smallest doc_id, or one without id if there is no other; rows without id and
+    text all stay.  Rows that repeat a doc_id count as one document, of which the
+    largest text stays that no other document stands for."""
     shared.prepare(spark)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    kept = (link(docs).where("doc_id is null or doc_id = component_id").select(key.alias("_key")).distinct())
-    out = (shared.boxed(docs, "doc_id", "text").withColumn("_key", key).join(kept, "_key", "left_semi")
-           .dropDuplicates(["_key"]))
+    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_key"), F.col("doc_id").isNull().alias("_null")]
+    kept = heads(shared.stored(parted(docs), "parted")).select(*keys, F.col("th").alias("_th"), "every")
+    out = (shared.boxed(docs, "doc_id", "text").select("*", *keys, F.xxhash64(F.col("text").cast("string")).alias("_th"))
+           .join(kept, ["_key", "_null", "_th"])
+           .withColumn("_own", F.when(F.col("every"), F.monotonically_increasing_id()))
+           .dropDuplicates(["_key", "_null", "_th", "_own"]))
     return shared.unboxed(out, docs.columns, "doc_id", "text")
 
 

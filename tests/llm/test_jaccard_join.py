@@ -81,3 +81,24 @@ def test_shingle_sets_are_distinct_and_whole():
     got = list(text.shingle_sets(pa.array(texts, pa.string())))
     assert [len(s) for s in got] == [len(set(shingles(t))) for t in texts]
     assert all((np.diff(s.astype(object)) > 0).all() for s in got)
+
+
+def changed(t, *at):
+    return " ".join(f"new{i}" if i in at else w for i, w in enumerate(t.split()))
+
+
+def test_rows_without_id_or_with_a_repeated_one(spark):
+    """Texts without id link, alone and as steps of a chain, and clean ones all
+    stay; of a repeated id the text that is no near copy stays."""
+    shared.prepare(spark)
+    a, b, c, d = (prose(40 + i, 100) for i in range(4))
+    rows = [(1, a), (None, changed(a, 20, 21)), (2, changed(a, 20, 21, 60, 61)), (None, b), (None, b), (None, changed(b, 50)),
+            (None, c), (None, prose(50, 60)), (None, None), (None, ""), (None, ""), (3, d), (7, changed(d, 40)), (7, prose(51, 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard_join.link(df).collect()), key=str)
+    assert got == sorted([(1, 1), (None, 1), (2, 1), *[(None, None)] * 8, (3, 3), (7, 3), (7, 7)], key=str)
+    out = [(r.doc_id, r.text) for r in jaccard_join.stage(spark, df, None).collect()]
+    assert sorted(x for x in out if x[0]) == [(1, a), (3, d), (7, prose(51, 30))]
+    nameless = [t for i, t in out if i is None]
+    assert len(nameless) == 6 and {c, prose(50, 60)} < set(nameless) and (b in nameless) + (changed(b, 50) in nameless) == 1
+    assert sorted(t or "" for t in nameless)[:3] == ["", "", ""]
