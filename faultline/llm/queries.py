@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import chat_paths, decontaminate, fixity, jaccard_join, language_id, licenses, line_dedup, near_vectors, packing, toxicity, whitening
+from faultline.llm import chat_paths, decontaminate, fingerprints, fixity, jaccard_join, language_id, licenses, line_dedup, near_vectors, packing, toxicity, whitening
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_fixity": fixity.query,
     "op9_language_id": language_id.query,
     "op10_jaccard_join": jaccard_join.query,
+    "op12_fingerprints": fingerprints.query,
     "op13_whitening": whitening.query,
 }
 ORACLES: dict[str, str] = {
