@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm import shared, text
 
-SAMPLES = 128
+SAMPLES = 96
 #: Terms evaluated at once: keeps the temporaries in the cache.
 TILE = 256
 CHUNK_CHARS = 1 << 18
@@ -58,21 +58,39 @@ COPIES = 1000
 #: Documents a task remembers to combine their copies.
 SEEN = 100_000
 
+STEPS = 1 << 16
+
+
+def gamma_quantiles() -> np.ndarray:
+    """Gamma(2, 1) variates at the middle of each of ``STEPS`` equal shares, by
+    Newton's method on the logarithm of 1 - (1 + x) exp(-x)."""
+    share = (np.arange(STEPS) + 0.5) / STEPS
+    x = np.where(share < 0.5, np.sqrt(2 * share), 1 - np.log(1 - share))
+    for _ in range(60):
+        below = -np.expm1(np.log1p(x) - x)
+        x = np.maximum(x - (np.log(below) - np.log(share)) * below / (x * np.exp(-x)), x / 4)
+    return x
+
+
 _rng = np.random.default_rng(1212)
-SEEDS = _rng.integers(1, 2**64 - 1, SAMPLES, dtype=np.uint64)
+FACTORS = _rng.integers(1, 2**64 - 1, SAMPLES, dtype=np.uint64) | np.uint64(1)
 SPREAD = np.uint64(0xD1342543DE82EF95)
-#: -ln u for u at the middle of each of 65,536 steps: two of them add up to a Gamma(2, 1) variate.
-EXPONENTIAL = (-np.log((np.arange(1 << 16) + 0.5) / (1 << 16))).astype(np.float32)
+R = gamma_quantiles().astype(np.float32)
+LOG_C = np.log(gamma_quantiles()).astype(np.float32)
 
 
 def draws(terms: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b of each term and sample, as functions of the two alone."""
-    bits = text.mix(terms[:, None] + SEEDS[:samples])
-    low = np.uint64(0xFFFF)
-    r = EXPONENTIAL[bits & low] + EXPONENTIAL[(bits >> np.uint64(16)) & low]
-    c = EXPONENTIAL[(bits >> np.uint64(32)) & low] + EXPONENTIAL[bits >> np.uint64(48)]
-    b = ((bits * SPREAD) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
-    return r, np.log(c), b
+    """r, ln c and 1 - b of each term and sample, as functions of the two alone:
+    16 bits of a hash each choose r and c, 24 others are b."""
+    bits = terms[:, None] * FACTORS[:samples]
+    bits ^= bits >> np.uint64(32)
+    bits *= SPREAD
+    bits ^= bits >> np.uint64(32)
+    lanes = bits.view(np.uint16).reshape(*bits.shape, 4)
+    rest = (bits.view(np.uint32).reshape(*bits.shape, 2)[:, :, 1] >> np.uint32(8)).astype(np.float32)
+    rest += 1
+    rest *= np.float32(2.0**-24)
+    return R.take(lanes[:, :, 0]), LOG_C.take(lanes[:, :, 1]), rest
 
 
 def least(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,13 +101,13 @@ def least(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> tup
     column = np.arange(samples)
     for first in range(0, len(terms), TILE):
         part, s = terms[first:first + TILE], weights[first:first + TILE]
-        r, log_c, b = draws(part, samples)
-        a = log_c - r * (1 - b)  # t is 0 where the weight is 1
+        r, log_c, rest = draws(part, samples)
+        a = log_c - r * rest  # t is 0 where the weight is 1
         more = np.flatnonzero(s != 1)
         steps = np.zeros((len(part) if len(more) else 1, samples), np.float32)
         if len(more):
-            steps[more] = np.floor(np.log(s[more]).astype(np.float32)[:, None] / r[more] + b[more])
-            a[more] = log_c[more] - r[more] * (steps[more] - b[more] + 1)
+            steps[more] = np.floor(np.log(s[more]).astype(np.float32)[:, None] / r[more] + (1 - rest[more]))
+            a[more] = log_c[more] - r[more] * (steps[more] + rest[more])
         at = a.argmin(0)
         low = a[at, column]
         better = low < best

@@ -75,9 +75,13 @@ def test_signature_is_the_same_beside_any_text():
 
 
 def test_draws_follow_their_distributions():
-    r, log_c, b = fp.draws(np.arange(1, 5000, dtype=np.uint64))
+    r, log_c, rest = fp.draws(fp.text.mix(np.arange(1, 5000, dtype=np.uint64)))
     assert abs(r.mean() - 2) < 0.02 and abs(r.var() - 2) < 0.05 and abs(np.exp(log_c).mean() - 2) < 0.02
-    assert abs(b.mean() - 0.5) < 0.005 and b.min() >= 0 and b.max() < 1
+    assert abs(rest.mean() - 0.5) < 0.005 and rest.min() > 0 and rest.max() <= 1
+    # ln a is that of an exponential variate with rate S, which makes the collision rate the similarity
+    a = np.exp(log_c - r * rest)
+    assert abs(a.mean() - 1) < 0.01 and abs(a.var() - 1) < 0.04
+    assert abs((a < 0.001).mean() / 0.001 - 1) < 0.15
 
 
 def test_odd_rows(spark):
