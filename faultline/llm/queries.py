@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from faultline.llm import chat_paths, decontaminate, fingerprints, fixity, jaccard_join, language_id, licenses, line_dedup, near_vectors, packing, toxicity, whitening
+from faultline.llm import (chat_paths, collocations, decontaminate, fingerprints, fixity, jaccard_join, language_id, licenses, line_dedup,
+                           near_vectors, packing, toxicity, whitening)
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -15,10 +16,12 @@ QUERIES = {
     "op8_fixity": fixity.query,
     "op9_language_id": language_id.query,
     "op10_jaccard_join": jaccard_join.query,
+    "op11_collocations": collocations.query,
     "op12_fingerprints": fingerprints.query,
     "op13_whitening": whitening.query,
 }
 ORACLES: dict[str, str] = {
     "op2_chat_paths": chat_paths.ORACLE,
     "op8_fixity": fixity.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
