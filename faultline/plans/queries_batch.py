@@ -58,6 +58,20 @@ def _shown_sql(e):
             f"ELSE CAST(CAST(floor({e} * 1.0471975511965976 * 1e5) AS BIGINT) AS VARCHAR) END")
 
 
+def special():
+    """The same readings in Spark."""
+    k = F.col("event_id") % 211
+    return (F.when(k == 3, F.lit(None).cast("double")).when(k == 57, F.lit(float("nan"))).when(k == 101, F.lit(float("inf")))
+            .when(k == 151, F.lit(1e17)).otherwise(F.col("temperature_C")))
+
+
+def shown(name, alias):
+    x = F.col(name).cast("double")
+    return (F.when(x.isNull(), None).when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), "inf")
+            .when(x > 1e9, F.concat(F.lit("e"), F.floor(x / F.lit(1e12) * F.lit(1.0471975511965976)).cast("bigint").cast("string")))
+            .otherwise(F.floor(x * F.lit(1.0471975511965976) * F.lit(1e5)).cast("bigint").cast("string"))).alias(alias)
+
+
 _SPECIAL_FRAMES = [("avg", 60_000, "a60"), ("avg", 7_000, "a7"), ("max", 7_000, "m7"), ("sum", 7_000, "s7"),
                    ("count", 60_000, "c60")]
 
@@ -70,19 +84,9 @@ _SPECIAL_FRAMES = [("avg", 60_000, "a60"), ("avg", 7_000, "a7"), ("max", 7_000,
 def q_win_double_special(spark, sf_dir):
     """WIN-* on DOUBLE readings with null, NaN, infinity and huge values: they
     touch only the frames that hold them."""
-    k = F.col("event_id") % 211
-    v = (F.when(k == 3, F.lit(None).cast("double")).when(k == 57, F.lit(float("nan"))).when(k == 101, F.lit(float("inf")))
-         .when(k == 151, F.lit(1e17)).otherwise(F.col("temperature_C")))
-    r = sensor(spark, sf_dir).select("event_id", "machine_id", "timestamp_ms", v.alias("v"))
+    r = sensor(spark, sf_dir).select("event_id", "machine_id", "timestamp_ms", special().alias("v"))
     out = trailing_aggregates(r, "machine_id", "timestamp_ms", [FrameAgg(a, "v", d, n) for a, d, n in _SPECIAL_FRAMES])
-
-    def shown(n):
-        x = F.col(n).cast("double")
-        return (F.when(x.isNull(), None).when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), "inf")
-                .when(x > 1e9, F.concat(F.lit("e"), F.floor(x / F.lit(1e12) * F.lit(1.0471975511965976)).cast("bigint").cast("string")))
-                .otherwise(F.floor(x * F.lit(1.0471975511965976) * F.lit(1e5)).cast("bigint").cast("string"))).alias(n)
-
-    return out.select("event_id", "machine_id", "timestamp_ms", *[shown(n) for _, _, n in _SPECIAL_FRAMES])
+    return out.select("event_id", "machine_id", "timestamp_ms", *[shown(n, n) for _, _, n in _SPECIAL_FRAMES])
 
 
 def _family_query(families, bucket_ms=-1):

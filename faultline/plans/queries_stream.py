@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
+from faultline.plans.queries_batch import _SPECIAL_SQL, _shown_sql, shown, special
 from faultline.plans.registry import register, sensor, sensor_scaled, unscale
 from faultline.schemas import SENSORS, STREAM_FEATURES
 from faultline.session import ensure_utc, scratch_path
@@ -55,6 +56,26 @@ def q_stream_sliding(spark, sf_dir):
                     *[F.round(F.col(n), 2).alias(n) for n in STREAM_FEATURES])
 
 
+@register("stream_double_special", V + ", sp AS (SELECT event_id, machine_id, timestamp_ms, " + _SPECIAL_SQL + """ AS v FROM sensor),
+w AS (SELECT machine_id, timestamp_ms,
+  avg(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 300000 PRECEDING AND CURRENT ROW) AS a300,
+  max(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 60000 PRECEDING AND CURRENT ROW) AS m60,
+  avg(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 4000 PRECEDING AND CURRENT ROW) AS a4,
+  max(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 9000 PRECEDING AND CURRENT ROW) AS m9 FROM sp)
+SELECT machine_id, timestamp_ms, """ + ", ".join(f"{_shown_sql(n)} AS {n}" for n in ("a300", "m60", "a4", "m9")) + " FROM w")
+def q_stream_double_special(spark, sf_dir):
+    """ST-1, ST-2 on DOUBLE readings with null, NaN, infinity and huge values,
+    with the production frames and with short ones, whose state blocks are short."""
+    ensure_utc(spark)
+    readings = ss.reading_stream(spark, sf_dir).withColumn("v", special())
+    long = _run(spark, "special", sw.sliding_features(readings, ["v"]))
+    short = _run(spark, "special-short", sw.sliding_features(readings, ["v"], mean_ms=4000, max_ms=9000))
+    names = ["avg_v_5min", "max_v_1min"]
+    one = long.select("machine_id", "timestamp_ms", *[shown(a, b) for a, b in zip(names, ("a300", "m60"))])
+    other = short.select("machine_id", "timestamp_ms", *[shown(a, b) for a, b in zip(names, ("a4", "m9"))])
+    return one.join(other, ["machine_id", "timestamp_ms"])
+
+
 @register("stream_json_decode", V + """
 SELECT event_id, CAST(machine_id AS VARCHAR) AS key, machine_id,
   CASE WHEN event_id % 97 <> 5 THEN timestamp_ms END AS timestamp_ms,

@@ -60,6 +60,14 @@ def ensure_utc(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """The state store that operators with several state variables need, also
+    in a session that was made elsewhere."""
+    for name in ("spark.sql.streaming.stateStore.providerClass",
+                 "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"):
+        spark.conf.set(name, BASE_CONF[name])
+
+
 _SHIPPED: set[str] = set()
 
 
