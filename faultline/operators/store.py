@@ -9,7 +9,7 @@ partial-aggregating ``max_by`` (no per-key collect, no driver loop).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.scalar import feature_key
@@ -94,15 +94,32 @@ def current(store: DataFrame, as_of_ms: int | None = None,
         s = s.where(F.col("feature_name").isin(names))
     if as_of_ms is not None:
         s = s.where(F.col("written_at_ms") <= F.lit(as_of_ms))
-    # primitive columns only, so that the aggregate stays a hash aggregate
-    latest = s.groupBy("machine_id", "feature_name").agg(
-        F.max_by("value", "written_at_ms").alias("value"),
-        F.max_by("expires_at_ms", "written_at_ms").alias("expires_at_ms"),
-        F.max("written_at_ms").alias("written_at_ms")) \
-        .select("machine_id", "feature_name", "value", "written_at_ms", "expires_at_ms")
+    found = latest(s).select("machine_id", "feature_name", "value", "written_at_ms", "expires_at_ms")
     if as_of_ms is not None:
-        latest = latest.where(F.col("expires_at_ms") > F.lit(as_of_ms))
-    return latest
+        found = found.where(F.col("expires_at_ms") > F.lit(as_of_ms))
+    return found
+
+
+def write_order(store: DataFrame) -> Column:
+    """The order of writes of one key at one time, as a long: by ``write_seq``
+    if the table has it, then by a hash of the row.  It depends on the rows alone,
+    not on the order in which they are read."""
+    named = [F.col("write_id").cast("string")] if "write_id" in store.columns else []
+    h = F.xxhash64("value", "expires_at_ms", *named)
+    if "write_seq" not in store.columns:
+        return h
+    return F.shiftleft(F.coalesce("write_seq", F.lit(0).cast("bigint")), 32) + h.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def latest(store: DataFrame) -> DataFrame:
+    """The last write per key, ties of time by ``write_order``."""
+    # one number for both, so that the aggregate stays a hash aggregate
+    order = (F.col("written_at_ms").cast("decimal(18,0)") * F.expr("18446744073709551616BD")
+             + write_order(store).cast("decimal(19,0)"))
+    seq = [c for c in ("write_seq",) if c in store.columns]
+    return store.withColumn("_order", order).groupBy("machine_id", "feature_name").agg(
+        *[F.max_by(c, "_order").alias(c) for c in ("value", "expires_at_ms", *seq)],
+        F.max("written_at_ms").alias("written_at_ms"))
 
 
 def pivot(long: DataFrame, names: list[str], id_col: str = "machine_id") -> DataFrame:

@@ -11,6 +11,7 @@ from faultline.plans import oracle_sql as O
 from faultline.plans.registry import events, register, sensor_scaled, unscale
 from faultline.schemas import (BATCH_FEATURES, BATCH_TTL_SECONDS, SENSORS,
                                STREAM_FEATURES, STREAM_TTL_SECONDS, feature_name)
+from faultline.session import ensure_utc, scratch_path
 from faultline.sources import fixtures as fx
 
 VS = O.with_views(O.SENSOR_INT, O.SENSOR_SCALED)
@@ -119,6 +120,43 @@ def q_ttl_visible(spark, sf_dir):
     return st.current(writes, GAP_AS_OF_MS)
 
 
+STORE_SLOT_MS = 60_000
+STORE_HORIZONS = (GAP_AS_OF_MS - 45_000, GAP_AS_OF_MS)
+
+
+@register("store_compacted", VS + ", gap AS (SELECT * FROM sensor_scaled WHERE " + GAP_WHERE + "), "
+          + _melt_sql(GAP_WHERE, BATCH_RUN_MS).replace("FROM sensor_scaled", "FROM gap")
+          + ", " + _stream_writes_sql("gap") + """,
+all_writes AS (SELECT * FROM batch_store UNION ALL SELECT * FROM stream_store),
+points AS (SELECT unnest([""" + ", ".join(str(GAP_AS_OF_MS + d) for d in (0, 5_000, 400_000)) + """]) AS as_of_ms),
+latest AS (SELECT as_of_ms, machine_id, feature_name, arg_max(value, written_at_ms) AS value,
+  max(written_at_ms) AS written_at_ms, arg_max(expires_at_ms, written_at_ms) AS expires_at_ms
+  FROM all_writes JOIN points ON written_at_ms <= as_of_ms GROUP BY ALL)
+SELECT * FROM latest, (SELECT unnest(['written', 'compacted', 'again']) AS step) WHERE expires_at_ms > as_of_ms""")
+def q_store_compacted(spark, sf_dir):
+    """SNK-3, SNK-4, FLT-5 through the versioned store: the visible rows at
+    three times, from the version before compaction, after it, and after a second one
+    that also merges what was written since."""
+    from faultline.operators.feature_store import FeatureStore
+    ensure_utc(spark)
+    g = fx.gap(sensor_scaled(spark, sf_dir))
+    fs = FeatureStore(spark, scratch_path(spark, "feature-store"), STORE_SLOT_MS)
+    stream = _stream_writes(g).persist()
+    fs.append(_batch_store(spark, sf_dir, g, BATCH_RUN_MS), f"batch-{BATCH_RUN_MS}")
+    fs.append(stream.where(F.col("machine_id") % 2 == 0), "stream-0")
+    fs.append(stream.where(F.col("machine_id") % 2 == 1).limit(10), "stream-1")  # a run that fails half-way
+    last = fs.append(stream.where(F.col("machine_id") % 2 == 1), "stream-1")     # and is replayed
+    stream.unpersist()
+    steps = {"written": last, "compacted": fs.compact(STORE_HORIZONS[0]), "again": fs.compact(2**62, STORE_HORIZONS[1])}
+    out = None
+    for step, version in steps.items():
+        for d in (0, 5_000, 400_000):
+            rows = fs.current(GAP_AS_OF_MS + d, version=version).select(
+                F.lit(GAP_AS_OF_MS + d).cast("bigint").alias("as_of_ms"), "*", F.lit(step).alias("step"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _full_store(spark, sf_dir, readings):
     return _batch_store(spark, sf_dir, readings).unionByName(_stream_writes(readings))
 
