@@ -303,26 +303,17 @@ def link(docs: DataFrame) -> DataFrame:
 
 def heads(rows: DataFrame) -> DataFrame:
     """(doc_id, th, every): the texts that stay, of ``parted`` rows; ``every``
-    row of them or one."""
-    several = (rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
-               .where("x < y").select("doc_id", F.lit(True).alias("several")))
-    # a component's head is a document with one text, if it has any
-    rank = F.struct(F.coalesce("several", F.lit(False)).alias("several"), F.col("doc_id").isNull().alias("nameless"),
-                    "doc_id", "cls", "th", "n")
-    full = (rows.where("n > 0").select("doc_id", "th", "n", "cls", "root").distinct().join(several, "doc_id", "left")
-            .groupBy("root").agg(F.min(rank).alias("r")).select("r.doc_id", "r.th", "r.n"))
-    empty = rows.where("n = 0").select("doc_id", "th", "n").distinct()
-    both = full.union(empty)
-    named = (both.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "th")).alias("r"))
-             .select("doc_id", "r.th", F.lit(False).alias("every")))
-    return named.union(both.where("doc_id is null").select("doc_id", "th", F.col("n") == 0))
+    row of them or one.  A component keeps one text, whatever the ids of the others."""
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "cls", "th")
+    one = rows.where("n > 0").groupBy("root").agg(F.min(rank).alias("r")).select("r.doc_id", "r.th", F.lit(False).alias("every"))
+    return one.union(rows.where("n = 0").select("doc_id", "th", F.lit(True)).distinct())
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of linked texts one row stays, that with the
-    smallest doc_id, or one without id if there is no other; rows without id and
-    text all stay.  Rows that repeat a doc_id count as one document, of which the
-    largest text stays that no other document stands for."""
+    smallest doc_id, or one without id if there is no other.  Texts that are
+    linked with no other stay, also several under one doc_id; rows that repeat
+    doc_id and text are copies of one another.  Rows without a word all stay."""
     shared.prepare(spark)
     keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_key"), F.col("doc_id").isNull().alias("_null")]
     kept = heads(shared.stored(parted(docs), "parted")).select(*keys, F.col("th").alias("_th"), "every")

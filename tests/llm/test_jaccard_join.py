@@ -69,7 +69,20 @@ def test_stage_keeps_one_of_each_group(spark):
     assert out.columns == docs.columns
     ids = sorted(r.doc_id for r in out.where("doc_id is not null").collect())
     # 56 shingles of which 5 differ: 51 / 61 is above 0.8
-    assert ids == [1, 2, 3, 4, 5, 6, 9, 10, 22]
+    assert ids == [1, 2, 3, 4, 5, 6, 6, 9, 10, 22]
+
+
+def test_stage_keeps_unrelated_texts_under_one_id(spark):
+    """Three texts without a near copy under id 7, beside one under id 8: all stay, once each."""
+    shared.prepare(spark)
+    texts = [prose(60 + i, 80) for i in range(4)]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[2]), (8, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard_join.stage(spark, df, None).collect()) == sorted(rows)
+    # copies and near copies of them, under any id, go
+    more = df.union(spark.createDataFrame([(7, texts[0]), (9, texts[1]), (7, changed(texts[3], 30)), (7, ""), (7, "")], df.schema))
+    assert sorted(tuple(r) for r in jaccard_join.stage(spark, more, None).collect()) == sorted(
+        [(7, texts[0]), (7, texts[1]), (7, texts[2]), (7, changed(texts[3], 30)), (7, ""), (7, "")])
 
 
 def test_empty_table(spark):
