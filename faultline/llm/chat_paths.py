@@ -132,8 +132,9 @@ def loss_text(value: Column, spans: Column) -> Column:
 
 
 def chains(conversations: DataFrame) -> DataFrame:
-    """Messages of conversations given by turn: each replies to the one before."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", F.md5("text"), "text")
+    """Messages of conversations given by turn: each replies to the one before.
+    Null turns come first; equal turns are ordered by role, then by text (null: empty)."""
+    order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
     node = F.row_number().over(order).cast("long")
     return (conversations.withColumn("node", node)
             .select("conv_id", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text",
@@ -164,9 +165,9 @@ WITH t AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 )
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(4 + 2 + 9 + length(role) + length(text)
                 + (length(role) - length(translate(role, '\#<:', ''))) + (length(text) - length(translate(text, '\#<', ''))))
             AS BIGINT) AS formatted_chars

@@ -87,6 +87,21 @@ def test_query_reads_back_the_turns(spark):
         assert got[c].loss_sha256 == hashlib.sha256(lost.encode()).hexdigest()
 
 
+def test_query_and_sql_agree_on_ties(spark, monkeypatch):
+    """Several different texts on one turn and role, nulls and repeated rows, in many conversations."""
+    import duckdb
+
+    rows = [(c, t, ["user", "assistant", None][(c + (t or 0)) % 3], [f"z{c * k % 7}", None, f"é{k}", f"a{c}", ""][(c + k) % 5])
+            for c in range(12) for t in (0, 1, 1, 2, None) for k in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(shared, "table", lambda *a: df)
+    shared.prepare(spark)
+    conversations = df.toArrow()  # noqa: F841
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    want = sorted(duckdb.sql(f"SELECT {', '.join(names)} FROM ({chat_paths.ORACLE})").fetchall())
+    assert sorted(tuple(r) for r in chat_paths.query(spark, SF).select(names).collect()) == want and len(want) == 13
+
+
 def test_turns_with_ties_and_nulls(spark):
     shared.prepare(spark)
     rows = [(1, 0, "user", None), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (1, None, "system", "s"), (None, 0, None, "t")]
