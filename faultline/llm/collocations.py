@@ -53,6 +53,7 @@ WIDER = 8
 MILLION = 1_000_000
 #: Bytes of text that a worker counts at once (a longer text is one part).
 PART_BYTES = 1 << 22
+SPLITS = 64
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -164,12 +165,25 @@ def score(a: str, left: str, right: str):
 
 
 def thresholds(pairs: DataFrame, reach: int, langs: DataFrame) -> DataFrame:
-    """(lang, t): the score of the ``reach``-th best pair, 0 where there are fewer."""
-    best = pairs.withColumn("_at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score")))).where(F.col("_at") <= reach)
-    low = best.groupBy("lang").agg(F.when(F.max("_at") == reach, F.min("score")).otherwise(0).alias("t"))
+    """(lang, t): the score of the ``reach``-th best pair, 0 where there are
+    fewer; from the number of pairs of each score, not from their order."""
+    above = Window.partitionBy("lang").orderBy(F.desc("score"))
+    low = (pairs.groupBy("lang", "score").agg(F.count("*").alias("pairs"))
+           .withColumn("upto", F.sum("pairs").over(above)).where(F.col("upto") >= reach)
+           .groupBy("lang").agg(F.max("score").alias("t")))
     return langs.join(low, "lang", "left").select("lang", F.coalesce("t", F.lit(0)).cast("long").alias("t"))
 
 
+def ranked(phrases: DataFrame, top: int) -> DataFrame:
+    """Each language's first ``top`` phrases with their rank.  Those of each of
+    ``SPLITS`` shares come first, so that no task sorts what all tasks have found."""
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    share = Window.partitionBy("lang", "share").orderBy(*order)
+    first = (phrases.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SPLITS)))
+             .withColumn("at", F.row_number().over(share)).where(F.col("at") <= top).drop("share", "at"))
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+
+
 def frontier(pairs: DataFrame, docs: DataFrame, levels: DataFrame) -> DataFrame:
     """The surviving phrases of score t or more of the languages of ``levels`` (lang, t)."""
     open_pairs = pairs.join(levels, "lang").where("bound >= t")  # no score is above its bound
@@ -211,12 +225,10 @@ def mine(docs: DataFrame, top: int = TOP) -> DataFrame:
     pairs = (pairs.where(F.col("n") >= LEAST).withColumnRenamed("n", "a").join(left, ["lang", "w1"]).join(right, ["lang", "w2"])
              .withColumn("score", score("a", "l", "r")).withColumn("bound", F.expr(f"cast({MILLION} as decimal(7,0)) * a div l")))
     pairs = shared.stored(pairs, "pairs")
-    by_rank = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     unsettled, settled, reach = pairs.select("lang").distinct(), [], 2 * top
     while True:
         levels = shared.stored(thresholds(pairs, reach, unsettled), "levels")
-        found = shared.stored(frontier(pairs, docs.join(levels, "lang", "left_semi"), levels)
-                              .withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= top), "phrases")
+        found = shared.stored(ranked(frontier(pairs, docs.join(levels, "lang", "left_semi"), levels), top), "phrases")
         # settled: enough phrases at or above the threshold, or all of them
         full = found.where(F.col("rank") == top).select("lang").union(levels.where("t = 0").select("lang")).distinct()
         settled.append(found.join(full, "lang", "left_semi"))
