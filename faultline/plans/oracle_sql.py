@@ -86,3 +86,20 @@ def spark_round(expr: str, digits: int) -> str:
     of the value (not on its exact binary value, as DuckDB and Python do)."""
     return (f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) "
             f"AS DOUBLE)")
+
+
+# Readings with every kind of special value, as DOUBLE: about one row in 50
+# each is null, NaN, infinite, or 1e17 (``fixtures.special`` in Spark).
+SPECIAL = """CASE event_id % 211 WHEN 3 THEN NULL WHEN 57 THEN CAST('nan' AS DOUBLE)
+  WHEN 101 THEN CAST('inf' AS DOUBLE) WHEN 151 THEN 1e17 ELSE temperature_C END"""
+
+
+def shown(e):
+    """A double as a text that doesn't depend on the order of summation."""
+    # no sum of decimal readings is near a rounding tie after this factor
+    return (f"CASE WHEN {e} IS NULL THEN NULL WHEN isnan({e}) THEN 'nan' WHEN isinf({e}) THEN 'inf' "
+            f"WHEN {e} > 1e9 THEN 'e' || CAST(CAST(floor({e} / 1e12 * 1.0471975511965976) AS BIGINT) AS VARCHAR) "
+            f"ELSE CAST(CAST(floor({e} * 1.0471975511965976 * 1e5) AS BIGINT) AS VARCHAR) END")
+
+
+ASOF_TOLERANCE_MS = 3 * 86_400_000

@@ -11,6 +11,7 @@ from faultline.plans import oracle_sql as O
 from faultline.plans.registry import register, sensor, sensor_scaled, unscale
 from faultline.schemas import SENSORS, WINDOW_FAMILIES
 from faultline.session import scratch_path
+from faultline.sources import fixtures as fx
 from faultline.sources.tables import load_readings, load_training_table, save_table
 
 V = O.with_views(O.SENSOR_INT, O.SENSOR)
@@ -45,48 +46,21 @@ def q_readings_roundtrip(spark, sf_dir):
     return load_readings(spark, path)
 
 
-# Readings with every kind of special value, as DOUBLE: about one row in 50
-# each is null, NaN, infinite, or 1e17.
-_SPECIAL_SQL = """CASE event_id % 211 WHEN 3 THEN NULL WHEN 57 THEN CAST('nan' AS DOUBLE)
-  WHEN 101 THEN CAST('inf' AS DOUBLE) WHEN 151 THEN 1e17 ELSE temperature_C END"""
-
-
-def _shown_sql(e):
-    # no sum of decimal readings is near a rounding tie after this factor
-    return (f"CASE WHEN {e} IS NULL THEN NULL WHEN isnan({e}) THEN 'nan' WHEN isinf({e}) THEN 'inf' "
-            f"WHEN {e} > 1e9 THEN 'e' || CAST(CAST(floor({e} / 1e12 * 1.0471975511965976) AS BIGINT) AS VARCHAR) "
-            f"ELSE CAST(CAST(floor({e} * 1.0471975511965976 * 1e5) AS BIGINT) AS VARCHAR) END")
-
-
-def special():
-    """The same readings in Spark."""
-    k = F.col("event_id") % 211
-    return (F.when(k == 3, F.lit(None).cast("double")).when(k == 57, F.lit(float("nan"))).when(k == 101, F.lit(float("inf")))
-            .when(k == 151, F.lit(1e17)).otherwise(F.col("temperature_C")))
-
-
-def shown(name, alias):
-    x = F.col(name).cast("double")
-    return (F.when(x.isNull(), None).when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), "inf")
-            .when(x > 1e9, F.concat(F.lit("e"), F.floor(x / F.lit(1e12) * F.lit(1.0471975511965976)).cast("bigint").cast("string")))
-            .otherwise(F.floor(x * F.lit(1.0471975511965976) * F.lit(1e5)).cast("bigint").cast("string"))).alias(alias)
-
-
 _SPECIAL_FRAMES = [("avg", 60_000, "a60"), ("avg", 7_000, "a7"), ("max", 7_000, "m7"), ("sum", 7_000, "s7"),
                    ("count", 60_000, "c60")]
 
 
 @register("win_double_special", O.with_views(O.SENSOR_INT, O.SENSOR) + ", sp AS (SELECT event_id, machine_id, timestamp_ms, "
-          + _SPECIAL_SQL + " AS v FROM sensor), w AS (SELECT event_id, machine_id, timestamp_ms, "
+          + O.SPECIAL + " AS v FROM sensor), w AS (SELECT event_id, machine_id, timestamp_ms, "
           + ", ".join(f"{a}(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN {d} PRECEDING AND 1 PRECEDING)"
                       f" AS {n}" for a, d, n in _SPECIAL_FRAMES) + " FROM sp) SELECT event_id, machine_id, timestamp_ms, "
-          + ", ".join(f"{_shown_sql(f'CAST({n} AS DOUBLE)')} AS {n}" for _, _, n in _SPECIAL_FRAMES) + " FROM w")
+          + ", ".join(f"{O.shown(f'CAST({n} AS DOUBLE)')} AS {n}" for _, _, n in _SPECIAL_FRAMES) + " FROM w")
 def q_win_double_special(spark, sf_dir):
     """WIN-* on DOUBLE readings with null, NaN, infinity and huge values: they
     touch only the frames that hold them."""
-    r = sensor(spark, sf_dir).select("event_id", "machine_id", "timestamp_ms", special().alias("v"))
+    r = sensor(spark, sf_dir).select("event_id", "machine_id", "timestamp_ms", fx.special().alias("v"))
     out = trailing_aggregates(r, "machine_id", "timestamp_ms", [FrameAgg(a, "v", d, n) for a, d, n in _SPECIAL_FRAMES])
-    return out.select("event_id", "machine_id", "timestamp_ms", *[shown(n, n) for _, _, n in _SPECIAL_FRAMES])
+    return out.select("event_id", "machine_id", "timestamp_ms", *[fx.shown(n, n) for _, _, n in _SPECIAL_FRAMES])
 
 
 def _family_query(families, bucket_ms=-1):

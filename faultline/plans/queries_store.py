@@ -206,7 +206,7 @@ def q_lookup_streaming(spark, sf_dir):
 
 
 SP = O.with_views(O.SPARSE)
-ASOF_TOLERANCE_MS = 3 * 86_400_000
+ASOF_TOLERANCE_MS = O.ASOF_TOLERANCE_MS
 
 
 @register("asof_lookup", SP + f""",

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
-from faultline.plans.queries_batch import _SPECIAL_SQL, _shown_sql, shown, special
 from faultline.plans.registry import register, sensor, sensor_scaled, unscale
 from faultline.schemas import SENSORS, STREAM_FEATURES
 from faultline.session import ensure_utc, scratch_path
+from faultline.sources import fixtures as fx
 from faultline.streaming import sources as ss
 from faultline.streaming import windows as sw
 
@@ -56,23 +56,23 @@ def q_stream_sliding(spark, sf_dir):
                     *[F.round(F.col(n), 2).alias(n) for n in STREAM_FEATURES])
 
 
-@register("stream_double_special", V + ", sp AS (SELECT event_id, machine_id, timestamp_ms, " + _SPECIAL_SQL + """ AS v FROM sensor),
+@register("stream_double_special", V + ", sp AS (SELECT event_id, machine_id, timestamp_ms, " + O.SPECIAL + """ AS v FROM sensor),
 w AS (SELECT machine_id, timestamp_ms,
   avg(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 300000 PRECEDING AND CURRENT ROW) AS a300,
   max(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 60000 PRECEDING AND CURRENT ROW) AS m60,
   avg(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 4000 PRECEDING AND CURRENT ROW) AS a4,
   max(v) OVER (PARTITION BY machine_id ORDER BY timestamp_ms RANGE BETWEEN 9000 PRECEDING AND CURRENT ROW) AS m9 FROM sp)
-SELECT machine_id, timestamp_ms, """ + ", ".join(f"{_shown_sql(n)} AS {n}" for n in ("a300", "m60", "a4", "m9")) + " FROM w")
+SELECT machine_id, timestamp_ms, """ + ", ".join(f"{O.shown(n)} AS {n}" for n in ("a300", "m60", "a4", "m9")) + " FROM w")
 def q_stream_double_special(spark, sf_dir):
     """ST-1, ST-2 on DOUBLE readings with null, NaN, infinity and huge values,
     with the production frames and with short ones, whose state blocks are short."""
     ensure_utc(spark)
-    readings = ss.reading_stream(spark, sf_dir).withColumn("v", special())
+    readings = ss.reading_stream(spark, sf_dir).withColumn("v", fx.special())
     long = _run(spark, "special", sw.sliding_features(readings, ["v"]))
     short = _run(spark, "special-short", sw.sliding_features(readings, ["v"], mean_ms=4000, max_ms=9000))
     names = ["avg_v_5min", "max_v_1min"]
-    one = long.select("machine_id", "timestamp_ms", *[shown(a, b) for a, b in zip(names, ("a300", "m60"))])
-    other = short.select("machine_id", "timestamp_ms", *[shown(a, b) for a, b in zip(names, ("a4", "m9"))])
+    one = long.select("machine_id", "timestamp_ms", *[fx.shown(a, b) for a, b in zip(names, ("a300", "m60"))])
+    other = short.select("machine_id", "timestamp_ms", *[fx.shown(a, b) for a, b in zip(names, ("a4", "m9"))])
     return one.join(other, ["machine_id", "timestamp_ms"])
 
 
@@ -149,6 +149,32 @@ def q_stream_alerts(spark, sf_dir):
     return unscale(out, ["value", *SENSORS])
 
 
+ASOF_GRACE_MS = 60_000
+
+
+@register("stream_asof_lookup", O.with_views(O.SPARSE) + f""",
+l AS (SELECT event_id, user_id, timestamp_ms, value_c100 FROM sparse WHERE series = 'purchase'),
+r AS (SELECT user_id, timestamp_ms, value_c100 FROM sparse WHERE series = 'error'),
+w AS (SELECT least((SELECT max(timestamp_ms) FROM l), (SELECT max(timestamp_ms) FROM r)) - {ASOF_GRACE_MS} AS watermark)
+SELECT l.event_id, l.user_id, l.timestamp_ms, l.value_c100,
+  CASE WHEN l.timestamp_ms - r.timestamp_ms <= {O.ASOF_TOLERANCE_MS} THEN r.value_c100 END AS err_value_c100,
+  CASE WHEN l.timestamp_ms - r.timestamp_ms <= {O.ASOF_TOLERANCE_MS} THEN r.timestamp_ms END AS err_asof_ts
+FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.timestamp_ms >= r.timestamp_ms
+WHERE l.timestamp_ms < (SELECT watermark FROM w)""")
+def q_stream_asof_lookup(spark, sf_dir):
+    """JN-3 between two streams: ``asof_lookup``'s rule for every left event
+    that the watermark has passed at the end of the replay."""
+    from faultline.streaming.asof import asof_stream
+    ensure_utc(spark)
+
+    def series(name):
+        sp = fx.sparse(ss.replay_events(spark, sf_dir)).where(F.col("series") == name)
+        return sp.select("event_id", "user_id", "timestamp_ms", "value_c100")
+
+    return _run(spark, "asof", asof_stream(series("purchase"), series("error"), ["user_id"], "timestamp_ms", "timestamp_ms",
+                                           ["value_c100"], O.ASOF_TOLERANCE_MS, tie="event_id", prefix="err_", grace_ms=ASOF_GRACE_MS))
+
+
 @register("stream_store_writes", VS + ", " + __import__(
     "faultline.plans.queries_store", fromlist=["x"])._stream_writes_sql() + " SELECT * FROM stream_store")
 def q_stream_store_writes(spark, sf_dir):
@@ -171,18 +197,62 @@ def q_stream_predictions(spark, sf_dir):
     from faultline.plans.queries_model import _train
     from faultline.streaming.jobs import feature_writer, scorer
     ensure_utc(spark)
+    from faultline.operators.feature_store import FeatureStore
     base = scratch_path(spark, "scoring")
     model, _ = _train(spark, sf_dir)
     readings = sensor_scaled(spark, sf_dir)
-    st.append(st.materialize_periodic(unscale(readings, SENSORS), 300_000), f"{base}/store",
-              "batch-periodic")
-    feature_writer(ss.reading_stream(spark, sf_dir), f"{base}/store",
-                   f"{base}/_ckpt_features").awaitTermination()
-    scorer(ss.reading_stream(spark, sf_dir), model, f"{base}/store", f"{base}/predictions",
+    store = FeatureStore(spark, f"{base}/store")
+    store.append(st.materialize_periodic(unscale(readings, SENSORS), 300_000), "batch-periodic")
+    feature_writer(ss.reading_stream(spark, sf_dir), store, f"{base}/_ckpt_features").awaitTermination()
+    scorer(ss.reading_stream(spark, sf_dir), model, store, f"{base}/predictions",
            f"{base}/_ckpt_scoring").awaitTermination()
     return spark.read.parquet(f"{base}/predictions").drop("write_id")
 
 
+LIVE_GRACE_MS = 60_000
+
+
+def _scored_keys_sql(facts, where):
+    """The readings that are scored, with facts that hold for each."""
+    from faultline.plans.queries_store import _score_vector_sql
+    head, _, vectors = _score_vector_sql().rpartition("\nSELECT ev.machine_id")
+    return (f"{head},\nvectors AS (SELECT ev.machine_id{vectors})\n"
+            f"SELECT machine_id, timestamp_ms, {facts} FROM vectors WHERE {where}")
+
+
+@register("stream_prediction_facts", _scored_keys_sql(
+    "true AS equals_batch, true AS flag_ok", f"timestamp_ms < (SELECT max(timestamp_ms) FROM sensor_scaled) - {LIVE_GRACE_MS}"))
+def q_stream_prediction_facts(spark, sf_dir):
+    """ML-6, PRJ-14, ST-6: readings and feature writes joined as two streams and
+    scored, against the batch scoring of the same readings over the whole store.  Every
+    reading with its batch features that the watermark has passed is there once;
+    its record equals the batch one, and the flag follows the unrounded probability."""
+    from faultline.operators import model as ml
+    from faultline.operators.scoring import feature_vectors, prediction_records
+    from faultline.plans.queries_model import _train
+    from faultline.plans.queries_store import _stream_writes, q_periodic_materialize
+    from faultline.schemas import FAULT_THRESHOLD
+    from faultline.streaming.jobs import live_scorer
+    ensure_utc(spark)
+    base = scratch_path(spark, "live")
+    model, _ = _train(spark, sf_dir)
+    r = sensor_scaled(spark, sf_dir)
+    q_periodic_materialize(spark, sf_dir).unionByName(_stream_writes(r)).write.parquet(f"{base}/writes")
+    store = spark.read.parquet(f"{base}/writes")
+    live_scorer(ss.reading_stream(spark, sf_dir), spark.readStream.schema(store.schema).parquet(f"{base}/writes"), model,
+                f"{base}/out", f"{base}/_checkpoint", grace_ms=LIVE_GRACE_MS).awaitTermination()
+    ev = unscale(r.select("machine_id", "timestamp_ms", "machine_type", *SENSORS), SENSORS)
+    raw = ml.fault_probability(model, feature_vectors(ev, store))
+    keys = ["machine_id", "timestamp_ms"]
+    batch = prediction_records(raw).select(*keys, F.col("faulty_proba").alias("p"), F.col("faulty").alias("f")) \
+        .join(raw.select(*keys, F.col("faulty_proba_raw").alias("raw")), keys)
+    live = spark.read.parquet(f"{base}/out")
+    return live.join(batch, keys, "left").select(
+        *keys, F.coalesce((F.col("faulty_proba") == F.col("p")) & (F.col("faulty") == F.col("f")), F.lit(False)).alias("equals_batch"),
+        F.coalesce((F.col("faulty") == (F.col("raw") >= FAULT_THRESHOLD)) & F.col("faulty_proba").between(0, 1),
+                   F.lit(False)).alias("flag_ok"))
+
+
 def _sliding_part(kind):
     names = [n for n in STREAM_FEATURES if n.startswith(kind)]
 

@@ -97,3 +97,19 @@ def gap(sensor_df: DataFrame, machine_id: int = 12,
     """A silence of one machine (for expiry checks)."""
     silent = (F.col("machine_id") == machine_id) & F.col("timestamp_ms").between(start_ms, end_ms)
     return sensor_df.where(~silent)
+
+
+def special() -> Column:
+    """The temperature of a reading, or every kind of special value: about one
+    row in 50 each is null, NaN, infinite, or 1e17."""
+    k = F.col("event_id") % 211
+    return (F.when(k == 3, F.lit(None).cast("double")).when(k == 57, F.lit(float("nan"))).when(k == 101, F.lit(float("inf")))
+            .when(k == 151, F.lit(1e17)).otherwise(F.col("temperature_C")))
+
+
+def shown(name: str, alias: str) -> Column:
+    """A double as a text that doesn't depend on the order of summation."""
+    x = F.col(name).cast("double")
+    return (F.when(x.isNull(), None).when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), "inf")
+            .when(x > 1e9, F.concat(F.lit("e"), F.floor(x / F.lit(1e12) * F.lit(1.0471975511965976)).cast("bigint").cast("string")))
+            .otherwise(F.floor(x * F.lit(1.0471975511965976) * F.lit(1e5)).cast("bigint").cast("string"))).alias(alias)
