@@ -128,7 +128,7 @@ def q_running_count(spark, sf_dir):
         .withColumnRenamed("position", "event_count")
 
 
-@register("stream_alerts", VS + """, t AS (
+_ALERTS_SQL = VS + """, t AS (
 SELECT 'window_mean' AS kind, machine_id, w * 10000 AS window_start_ms, w * 10000 + 10000 AS window_end_ms,
   avg(temperature_C) / 100.0 AS value, CAST(NULL AS BIGINT) AS timestamp_ms,
   CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS DOUBLE) AS temperature_C, CAST(NULL AS DOUBLE) AS vibration_mm_per_s,
@@ -141,7 +141,10 @@ SELECT * FROM t
 UNION ALL
 SELECT 'threshold' AS kind, machine_id, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
   temperature_C / 100.0, timestamp_ms, event_id, temperature_C / 100.0, vibration_mm_per_s / 100.0,
-  pressure_kPa / 100.0, rotor_speed_rpm / 100.0, machine_type, faulty FROM sensor_scaled WHERE temperature_C > 5000""")
+  pressure_kPa / 100.0, rotor_speed_rpm / 100.0, machine_type, faulty FROM sensor_scaled WHERE temperature_C > 5000"""
+
+
+@register("stream_alerts", _ALERTS_SQL)
 def q_stream_alerts(spark, sf_dir):
     ensure_utc(spark)
     out = _run(spark, "alerts", sw.alerts(ss.reading_stream(spark, sf_dir, scaled=True),
@@ -149,6 +152,31 @@ def q_stream_alerts(spark, sf_dir):
     return unscale(out, ["value", *SENSORS])
 
 
+@register("stream_published_records", _ALERTS_SQL.replace("\nSELECT * FROM t\nUNION ALL\n", ",\nu AS (SELECT * FROM t\nUNION ALL\n")
+          + ")\nSELECT CAST(machine_id AS VARCHAR) AS key, kind AS header, kind, machine_id, window_start_ms, timestamp_ms, "
+          "CAST(value AS DOUBLE) AS value, event_id, machine_type FROM u")
+def q_stream_published_records(spark, sf_dir):
+    """SNK-2 + ST-8: the alerts of a stream published as keyed JSON records
+    with headers, in a run whose epochs are all replayed, and decoded again."""
+    from faultline.streaming.jobs import alert_writer
+    from faultline.streaming.records import RecordLog
+    ensure_utc(spark)
+    base = scratch_path(spark, "published")
+    log = RecordLog(spark, f"{base}/topic")
+    stream = ss.reading_stream(spark, sf_dir, scaled=True)
+    for attempt in ("first", "replay"):  # a new checkpoint: the same epochs once more
+        alert_writer(stream, "temperature_C", 5000.0, f"{base}/{attempt}", f"{base}/_checkpoint-{attempt}", topic=log).awaitTermination()
+    fields = ("kind string, machine_id int, window_start_ms bigint, timestamp_ms bigint, value double, event_id bigint, "
+              "machine_type string, temperature_C double")
+    r = F.col("r")
+    return log.read().select("key", F.col("headers")[0]["value"].cast("string").alias("header"),
+                             F.from_json("value", fields).alias("r")).select(
+        "key", "header", r["kind"].alias("kind"), r["machine_id"].alias("machine_id"), r["window_start_ms"].alias("window_start_ms"),
+        r["timestamp_ms"].alias("timestamp_ms"),
+        (r["value"] / F.lit(100.0)).alias("value"),
+        r["event_id"].alias("event_id"), r["machine_type"].alias("machine_type"))
+
+
 ASOF_GRACE_MS = 60_000
 
 

@@ -9,7 +9,7 @@ frames and are tested on file streams.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
@@ -56,10 +56,19 @@ def decode_readings(frames: DataFrame) -> DataFrame:
         "r.is_under_load", F.col("r.faulty").cast("int").alias("faulty"))
 
 
-def encode_records(df: DataFrame, key_col: str = "machine_id") -> DataFrame:
-    """SNK-2 frame: string key + JSON object of all columns."""
+def encode_records(df: DataFrame, key_col: str = "machine_id", headers: dict | None = None) -> DataFrame:
+    """SNK-2 frame: string key + JSON object of all columns; ``headers`` (name
+    to column) add the records' headers."""
     return df.select(F.col(key_col).cast("string").alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
+                     *([_headers(headers)] if headers is not None else []))
+
+
+def _headers(headers: dict) -> Column:
+    if not headers:
+        return F.array().cast("array<struct<key:string,value:binary>>").alias("headers")
+    return F.array(*[F.struct(F.lit(n).alias("key"), c.cast("string").cast("binary").alias("value"))
+                     for n, c in headers.items()]).alias("headers")
 
 
 def topic_sink(frames: DataFrame, servers: str, topic: str, checkpoint: str):
