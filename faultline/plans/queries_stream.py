@@ -281,6 +281,28 @@ def q_stream_prediction_facts(spark, sf_dir):
                    F.lit(False)).alias("flag_ok"))
 
 
+@register("fault_prediction_facts", _scored_keys_sql("true AS probability_ok, true AS flag_ok, true AS rounded_ok", "true"))
+def q_fault_prediction_facts(spark, sf_dir):
+    """ML-6, PRJ-14 over history: every reading with its batch features has one
+    record; its probability lies in [0, 1], the flag follows the unrounded one, and
+    the published one is within half a thousandth of it."""
+    from faultline.operators import model as ml
+    from faultline.operators.scoring import feature_vectors, prediction_records
+    from faultline.plans.queries_model import _train
+    from faultline.plans.queries_store import _stream_writes, q_periodic_materialize
+    from faultline.schemas import FAULT_THRESHOLD
+    model, _ = _train(spark, sf_dir)
+    r = sensor_scaled(spark, sf_dir)
+    store = q_periodic_materialize(spark, sf_dir).unionByName(_stream_writes(r))
+    ev = unscale(r.select("machine_id", "timestamp_ms", "machine_type", *SENSORS), SENSORS)
+    raw = ml.fault_probability(model, feature_vectors(ev, store))
+    keys = ["machine_id", "timestamp_ms"]
+    p = F.col("faulty_proba_raw")
+    return prediction_records(raw).join(raw.select(*keys, p), keys).select(
+        *keys, p.between(0, 1).alias("probability_ok"), (F.col("faulty") == (p >= FAULT_THRESHOLD)).alias("flag_ok"),
+        (F.abs(F.col("faulty_proba") - p) <= 0.0005 + 1e-12).alias("rounded_ok"))
+
+
 def _sliding_part(kind):
     names = [n for n in STREAM_FEATURES if n.startswith(kind)]
 

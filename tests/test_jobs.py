@@ -3,9 +3,12 @@ materialisation append, training + registration."""
 
 import tempfile
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from faultline.operators import store as st
+from faultline.operators.feature_store import FeatureStore
 from faultline.plans import jobs
 from faultline.plans.registry import sensor
 from faultline.schemas import BATCH_FEATURES, SENSOR_SCHEMA
@@ -21,16 +24,29 @@ def test_training_table_job_counts_rows_once(spark):
     d = tempfile.mkdtemp(prefix="faultline-test-jobs-")
     counts = jobs.training_table_job(spark, raw_readings(spark, d), f"{d}/features")
     back = spark.read.parquet(f"{d}/features")
-    assert counts["rows"] == back.count() == 988
+    assert counts == {"rows": 988, "positives": back.where("faulty = 1").count()} and back.count() == 988
+
+
+def test_missing_input_raises(spark):
+    """SRC-3: both batch sources refuse a path that isn't there."""
+    from faultline.sources.tables import load_readings, load_training_table
+    for load in (load_readings, load_training_table):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            load(spark, "/nonexistent/readings")
 
 
 def test_materialize_job_appends_visible_batch_features(spark):
     d = tempfile.mkdtemp(prefix="faultline-test-jobs-")
     raw = raw_readings(spark, d)
     jobs.materialize_job(spark, raw, f"{d}/store", as_of_ms=None)
-    jobs.materialize_job(spark, raw, f"{d}/store", as_of_ms=None)   # a second, later run
+    jobs.materialize_job(spark, raw, f"{d}/store", as_of_ms=None)   # a re-run replaces its write
     store = spark.read.parquet(f"{d}/store")
-    assert store.count() == 2 * 12 * len(BATCH_FEATURES)
+    assert store.count() == 12 * len(BATCH_FEATURES)
+    versioned = FeatureStore(spark, f"{d}/versioned")
+    for _ in range(2):
+        jobs.materialize_job(spark, raw, versioned)
+    assert versioned.read().drop("write_seq").exceptAll(store.select(versioned.read().drop("write_seq").columns)).count() == 0
+    assert versioned.read().count() == store.count()
     cur = st.current(store)
     assert cur.count() == 12 * len(BATCH_FEATURES)
     end = spark.read.parquet(raw).agg(F.max("timestamp_ms")).first()[0]
