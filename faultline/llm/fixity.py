@@ -193,7 +193,7 @@ WITH p AS (
   UNION ALL
   SELECT page_id, url, CASE WHEN mark = '00' THEN chr(0) || substr(html, 2) ELSE html END, 'b' FROM p WHERE mark <> '01'
 ), r AS (
-  SELECT side, page_id, page_id * 4096 + CAST('0x' || substr(md5(url), 1, 3) AS BIGINT) AS place,
+  SELECT side, page_id, url, page_id * 4096 + CAST('0x' || substr(md5(url), 1, 3) AS BIGINT) AS place,
          'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
          || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
          || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html)
