@@ -9,7 +9,7 @@ from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
 from faultline.plans.queries_batch import _training_query, _training_sql
 from faultline.plans.registry import events, register, sensor_scaled, unscale
-from faultline.schemas import MODEL_NAME, SENSORS, WINDOW_FAMILIES
+from faultline.schemas import MODEL_NAME, ORDERED_NUMERIC_FEATURES, SENSORS, WINDOW_FAMILIES
 from faultline.session import scratch_path
 from faultline.sources import fixtures as fx
 
@@ -217,3 +217,85 @@ def q_cv_search(spark, sf_dir):
     from faultline.operators import model as ml
     return ml.grid_search_cv(training(spark, sf_dir), CV_GRID, n_splits=CV_SPLITS,
                              parallelism=len(CV_GRID) * CV_SPLITS)
+
+
+# ---- a forest as a node table ------------------------------------------------
+
+# Four hand-made trees over the model's inputs (three classes, then the numbers in order).
+_AT = {c: i + 3 for i, c in enumerate(ORDERED_NUMERIC_FEATURES)}
+FOREST = [
+    (0, 0, _AT["temperature_C"], 48.0, None, 1, 2, None), (0, 1, _AT["avg_temperature_C_1h"], 48.5, None, 3, 4, None),
+    (0, 2, -1, None, None, -1, -1, 0.75), (0, 3, -1, None, None, -1, -1, 0.125), (0, 4, -1, None, None, -1, -1, 0.5),
+    (1, 0, 1, None, [0.0], 1, 2, None), (1, 1, _AT["max_vibration_mm_per_s_1min"], 3.25, None, 3, 4, None),
+    (1, 2, _AT["rotor_speed_rpm"], 1500.0, None, 5, 6, None), (1, 3, -1, None, None, -1, -1, 0.0625),
+    (1, 4, -1, None, None, -1, -1, 0.375), (1, 5, -1, None, None, -1, -1, 0.875), (1, 6, -1, None, None, -1, -1, 0.25),
+    (2, 0, _AT["avg_pressure_kPa_5min"], 101.75, None, 1, 2, None), (2, 1, -1, None, None, -1, -1, 0.25),
+    (2, 2, _AT["pressure_kPa"], 102.5, None, 3, 4, None), (2, 3, -1, None, None, -1, -1, 0.5), (2, 4, -1, None, None, -1, -1, 1.0),
+    (3, 0, -1, None, None, -1, -1, 0.3125),
+]
+FOREST_DEPTH = 2
+
+
+def _forest_sql():
+    def value(v):
+        return "NULL" if v is None else f"[{', '.join(map(str, v))}]::DOUBLE[]" if isinstance(v, list) else str(v)
+    rows = ",\n  ".join("(" + ", ".join(map(value, r)) + ")" for r in FOREST)
+    head, _, rest = TT_VIEWS.partition("WITH ")
+    x = ", ".join([f"CASE WHEN machine_type = '{c}' THEN 1.0 ELSE 0.0 END" for c in "ABC"]
+                  + [f"CAST({c} AS DOUBLE)" for c in ORDERED_NUMERIC_FEATURES])
+    return f"""{head}WITH RECURSIVE {rest}, nodes(tree, node, feature, threshold, left_values, lft, rgt, p) AS (VALUES
+  {rows}),
+x AS (SELECT machine_id, event_timestamp, CAST([{x}] AS DOUBLE[]) AS v FROM tt),
+walk AS (
+  SELECT machine_id, event_timestamp, v, tree, 0 AS node FROM x, (SELECT DISTINCT tree FROM nodes) t
+  UNION ALL
+  SELECT machine_id, event_timestamp, v, w.tree,
+    CASE WHEN CASE WHEN threshold IS NULL THEN list_contains(left_values, v[feature + 1]) ELSE v[feature + 1] <= threshold END
+         THEN lft ELSE rgt END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE feature >= 0)
+SELECT machine_id, epoch_ms(CAST(event_timestamp AS TIMESTAMP)) AS timestamp_ms, CAST(sum(p) AS DOUBLE) / 4 AS proba
+FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE feature < 0
+GROUP BY ALL"""
+
+
+@register("forest_walk", _forest_sql())
+def q_forest_walk(spark, sf_dir):
+    """ML-5 without an ML transform: every training row walked through a forest's node table."""
+    from faultline.operators import forest
+    t = training(spark, sf_dir)
+    nodes = spark.createDataFrame(FOREST, forest.NODE_SCHEMA)
+    return forest.walk(t, nodes, forest.inputs(["A", "B", "C"]), FOREST_DEPTH, "proba").select(
+        "machine_id", F.unix_millis("event_timestamp").alias("timestamp_ms"), "proba")
+
+
+SPLIT_CUTS = {"temperature_C": [46.0, 47.0, 48.0, 49.0, 50.0], "vibration_mm_per_s": [2.25, 2.5, 3.0, 3.5],
+              "pressure_kPa": [100.5, 101.5, 102.5], "rotor_speed_rpm": [1480.0, 1495.0, 1510.0, 1525.0]}
+_CUT_ROWS = ", ".join(f"('{f}', {t})" for f, c in SPLIT_CUTS.items() for t in c)
+
+
+def _gini(p, n):
+    t = f"({p} * wp + {n} * wn)"
+    return f"(CAST(1.0 AS DOUBLE) - ({p} * wp / {t}) * ({p} * wp / {t}) - ({n} * wn / {t}) * ({n} * wn / {t}))"
+
+
+@register("root_split_gain", TT_VIEWS + f""", cw AS (
+  SELECT max(CASE WHEN faulty = 1 THEN w END) AS wp, max(CASE WHEN faulty = 0 THEN w END) AS wn FROM (
+    SELECT faulty, CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS w FROM tt GROUP BY faulty) c),
+cuts(feature, threshold) AS (SELECT col0, CAST(col1 AS DOUBLE) FROM (VALUES {_CUT_ROWS})),
+long AS (UNPIVOT (SELECT faulty, {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in SPLIT_CUTS)} FROM tt)
+         ON {", ".join(SPLIT_CUTS)} INTO NAME feature VALUE v),
+s AS (SELECT feature, threshold, count(*) FILTER (v <= threshold AND faulty = 1) AS lp,
+    count(*) FILTER (v <= threshold AND faulty = 0) AS ln, count(*) FILTER (faulty = 1) AS ap, count(*) FILTER (faulty = 0) AS an
+  FROM long JOIN cuts USING (feature) GROUP BY ALL),
+g AS (SELECT *, ap - lp AS rp, an - ln AS rn FROM s, cw)
+SELECT 0 AS node, feature, threshold, CAST(lp + ln AS BIGINT) AS rows_left, CAST(rp + rn AS BIGINT) AS rows_right,
+  round(CASE WHEN lp + ln = 0 OR rp + rn = 0 THEN 0.0 ELSE {_gini("ap", "an")}
+    - (lp * wp + ln * wn) / (ap * wp + an * wn) * {_gini("lp", "ln")}
+    - (rp * wp + rn * wn) / (ap * wp + an * wn) * {_gini("rp", "rn")} END, 9) AS gain
+FROM g""")
+def q_root_split_gain(spark, sf_dir):
+    """ML-3: gains of a root's candidate splits under the class weights, to 9 places."""
+    from faultline.operators import forest
+    t = training(spark, sf_dir).select("faulty", *SPLIT_CUTS)
+    gains = forest.split_gains(sp.with_class_weight(t), "faulty", SPLIT_CUTS, "weight")
+    return gains.withColumn("gain", F.round("gain", 9))
