@@ -10,6 +10,7 @@ from faultline.operators import features as feat
 from faultline.operators import model as ml
 from faultline.operators import store as st
 from faultline.operators.feature_store import FeatureStore
+from faultline.sources import hourly
 from faultline.sources.tables import load_readings, load_training_table, save_table
 
 
@@ -25,12 +26,13 @@ def training_table_job(spark: SparkSession, readings_path: str, output_path: str
 
 
 def materialize_job(spark: SparkSession, readings_path: str, store: str | FeatureStore,
-                    as_of_ms: int | None = None) -> None:
+                    as_of_ms: int | None = None, by_hour: bool = False) -> None:
     """C2: latest-hour averages appended to the feature table (a folder or a
     ``FeatureStore``).  The write is named after the end of its hour, which is the
     latest reading's time when ``as_of_ms`` is absent, so a re-run over the same
-    readings replaces its earlier write."""
-    readings = load_readings(spark, readings_path)
+    readings replaces its earlier write.  ``by_hour``: the readings lie in hour
+    folders, of which only the last hour's are read."""
+    readings = hourly.recent(spark, readings_path, as_of_ms=as_of_ms) if by_hour else load_readings(spark, readings_path)
     end = as_of_ms if as_of_ms is not None else readings.agg(F.max("timestamp_ms")).first()[0]
     if end is None:
         return

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.operators import metrics as M
+from faultline.operators import ordered
 from faultline.operators import split as sp
 from faultline.plans import oracle_sql as O
 from faultline.plans.queries_batch import _training_query, _training_sql
@@ -36,15 +37,25 @@ def q_class_weights(spark, sf_dir):
     return sp.class_weights(training(spark, sf_dir))
 
 
-@register("temporal_split", TT_VIEWS + """SELECT machine_id, event_timestamp, faulty,
+SPLIT_SQL = TT_VIEWS + """SELECT machine_id, event_timestamp, faulty,
   row_number() OVER (ORDER BY event_timestamp, machine_id) AS position,
   row_number() OVER (ORDER BY event_timestamp, machine_id) <= floor(count(*) OVER () * 0.8) AS is_train
-FROM tt""")
+FROM tt"""
+
+
+@register("temporal_split", SPLIT_SQL)
 def q_temporal_split(spark, sf_dir):
     t = training(spark, sf_dir).select("machine_id", "event_timestamp", "faulty")
     return sp.temporal_split(t)
 
 
+@register("temporal_split_ordered", SPLIT_SQL)
+def q_temporal_split_ordered(spark, sf_dir):
+    """SRT-1/2 through a table in global order."""
+    t = training(spark, sf_dir).select("machine_id", "event_timestamp", "faulty")
+    return ordered.temporal_split(t, scratch_path(spark, "ordered"))
+
+
 def _confusion_sql(thr):
     return f"""SELECT CAST({thr} AS DOUBLE) AS threshold, tp, fp, fn, tn,
   CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision_fault,

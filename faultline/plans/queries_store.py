@@ -13,6 +13,7 @@ from faultline.schemas import (BATCH_FEATURES, BATCH_TTL_SECONDS, SENSORS,
                                STREAM_FEATURES, STREAM_TTL_SECONDS, feature_name)
 from faultline.session import ensure_utc, scratch_path
 from faultline.sources import fixtures as fx
+from faultline.sources import hourly
 
 VS = O.with_views(O.SENSOR_INT, O.SENSOR_SCALED)
 GAP_AS_OF_MS = 1767225675000      # inside the 70 s silence of machine 12
@@ -42,6 +43,16 @@ register("latest_hour_avg", VS + _latest_sql(3_600_000, "1h"))(_latest_query(3_6
 register("latest_5min_avg", VS + _latest_sql(300_000, "5min"))(_latest_query(300_000, "5min"))
 
 
+@register("latest_hour_pruned", VS + _latest_sql(3_600_000, "1h"))
+def q_latest_hour_pruned(spark, sf_dir):
+    """AGG-1 + FLT-2 over hour folders: only the folders that the last hour can touch are read."""
+    readings = sensor_scaled(spark, sf_dir)
+    path = scratch_path(spark, "hourly")
+    hourly.write_hourly(readings, path)
+    df = st.latest_window_avg(hourly.recent(spark, path, schema=readings.schema), suffix="1h")
+    return unscale(df, [feature_name("avg", s, "1h") for s in SENSORS])
+
+
 def _batch_store(spark, sf_dir, readings=None, as_of_ms=None):
     """Batch writes (values back in units)."""
     r = readings if readings is not None else sensor_scaled(spark, sf_dir)
