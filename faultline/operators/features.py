@@ -28,18 +28,20 @@ def family_aggs(families=WINDOW_FAMILIES, sensors=SENSORS) -> list[FrameAgg]:
 
 def trailing_features(readings: DataFrame, families=WINDOW_FAMILIES,
                       sensors=SENSORS, include_current: bool = False,
-                      bucket_ms: int | None = -1, per_time: bool = PER_TIME) -> DataFrame:
+                      bucket_ms: int | None = -1, per_time: bool = PER_TIME,
+                      earlier: DataFrame | None = None) -> DataFrame:
     """WIN-*: trailing per-machine aggregates, empty frame -> 0.0 (PRJ-3)."""
     return trailing_aggregates(readings, "machine_id", "timestamp_ms",
                                family_aggs(families, sensors),
                                include_current=include_current,
-                               bucket_ms=bucket_ms, default=0.0, per_time=per_time)
+                               bucket_ms=bucket_ms, default=0.0, per_time=per_time, earlier=earlier)
 
 
 def training_table(readings: DataFrame, families=WINDOW_FAMILIES,
                    sensors=SENSORS, bucket_ms: int | None = -1,
-                   per_time: bool = PER_TIME) -> DataFrame:
-    """C1: one row per reading with leakage-free history features.
+                   per_time: bool = PER_TIME, earlier: DataFrame | None = None) -> DataFrame:
+    """C1: one row per reading with leakage-free history features (``earlier``:
+    parts of readings before these, see ``trailing_aggregates``).
 
     Rows whose max-family features are all-or-any zero are dropped (FLT-1:
     no history in the shortest frame; a true maximum of 0.0 is dropped too,
@@ -47,7 +49,7 @@ def training_table(readings: DataFrame, families=WINDOW_FAMILIES,
     """
     aggs = family_aggs(families, sensors)
     feats = trailing_features(readings, families, sensors, bucket_ms=bucket_ms,
-                              per_time=per_time)
+                              per_time=per_time, earlier=earlier)
     out = feats.select(
         "machine_id",
         ms_to_timestamp("timestamp_ms").alias("event_timestamp"),

@@ -40,7 +40,8 @@ def trailing_aggregates(df: DataFrame, key: str | list[str], ts: str,
                         aggs: list[FrameAgg], include_current: bool = False,
                         bucket_ms: int | None = -1,
                         default: float | None = None,
-                        per_time: bool = True) -> DataFrame:
+                        per_time: bool = True,
+                        earlier: DataFrame | None = None) -> DataFrame:
     """Add one column per ``FrameAgg`` to every row of ``df``.
 
     ``include_current=False`` gives the training frame ``[t-d, t-1]`` (no
@@ -58,6 +59,9 @@ def trailing_aggregates(df: DataFrame, key: str | list[str], ts: str,
       (``bucket_ms=-1``: ``DEFAULT_BUCKET_FACTOR`` x the longest frame); its
       cost grows with the rows in a frame, so it suits sparse series;
     * ``bucket_ms=None`` is the plain window per key.
+
+    ``earlier`` (first plan only) holds the ``time_parts`` of rows that are not
+    in ``df`` but in its frames.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not aggs:
@@ -65,7 +69,9 @@ def trailing_aggregates(df: DataFrame, key: str | list[str], ts: str,
     if min(a.length_ms for a in aggs) < 1:
         raise ValueError("frame lengths must be positive")
     if per_time and bucket_ms is not None:
-        return _per_time(df, keys, ts, aggs, include_current, default)
+        return _per_time(df, keys, ts, aggs, include_current, default, earlier)
+    if earlier is not None:
+        raise ValueError("earlier rows need the per-time plan")
     return _frames(df, keys, ts, aggs, include_current, bucket_ms, default)
 
 
@@ -96,11 +102,30 @@ def _blocks(per: DataFrame, keys: list[str], ts: str, names: dict, lengths: list
     return rows.select(*keys, ts, "__i", *outs)
 
 
-def _per_time(df, keys, ts, aggs, include_current, default):
+def _part_names(aggs: list[FrameAgg]) -> dict:
     parts = sorted({(a.column, p) for a in aggs for p in _PARTS[a.agg]})
-    names = {(c, p): f"__{p}_{i}" for i, (c, p) in enumerate(parts)}
+    return {(c, p): f"__{p}_{i}" for i, (c, p) in enumerate(parts)}
+
+
+def time_parts(df: DataFrame, key: str | list[str], ts: str, aggs: list[FrameAgg],
+               earlier: DataFrame | None = None) -> DataFrame:
+    """The rows of ``df`` reduced to one per ``(key, time)`` with the sums,
+    counts and extremes that ``aggs`` need; ``earlier`` is such a table of
+    other rows, to be merged."""
+    keys = [key] if isinstance(key, str) else list(key)
+    names = _part_names(aggs)
     per = (df.where(F.col(ts).isNotNull()).groupBy(*keys, F.col(ts).cast("bigint").alias(ts))
-             .agg(*[_PART_AGG[p](F.col(c)).alias(names[(c, p)]) for c, p in parts]))
+             .agg(*[_PART_AGG[p](F.col(c)).alias(n) for (c, p), n in names.items()]))
+    if earlier is None:
+        return per
+    merge = {"s": F.sum, "n": F.sum, "x": F.max, "m": F.min}
+    return (per.unionByName(earlier).groupBy(*keys, ts)
+            .agg(*[merge[p](n).alias(n) for (_, p), n in names.items()]))
+
+
+def _per_time(df, keys, ts, aggs, include_current, default, earlier=None):
+    names = _part_names(aggs)
+    per = time_parts(df, keys, ts, aggs, earlier)
     lengths = sorted({a.length_ms for a in aggs})
     rows = _blocks(per, keys, ts, names, lengths, include_current)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.scalar import machine_class, ms_to_timestamp
 from faultline.operators import features as feat
+from faultline.operators import incremental
 from faultline.operators.windows import FrameAgg, trailing_aggregates
 from faultline.plans import oracle_sql as O
 from faultline.plans.registry import register, sensor, sensor_scaled, unscale
@@ -108,6 +109,17 @@ register("training_table_short", _training_sql(SHORT_FAMILIES))(
     _training_query(SHORT_FAMILIES, SHORT_BUCKET_MS))
 
 
+@register("training_table_incremental", _training_sql(WINDOW_FAMILIES))
+def q_training_table_incremental(spark, sf_dir):
+    """C1 in two appends: the readings up to the middle of the time, then the rest."""
+    r = sensor_scaled(spark, sf_dir)
+    middle = r.agg(F.floor((F.min("timestamp_ms") + F.max("timestamp_ms")) / 2)).scalar()
+    path = scratch_path(spark, "incremental")
+    incremental.append(spark, r.where(F.col("timestamp_ms") <= middle), path, 0)
+    incremental.append(spark, r.where(F.col("timestamp_ms") > middle), path, 1)
+    return unscale(incremental.read(spark, path), SENSORS + [a.alias for a in feat.family_aggs(WINDOW_FAMILIES)])
+
+
 @register("training_roundtrip", _training_sql(WINDOW_FAMILIES))
 def q_training_roundtrip(spark, sf_dir):
     """SNK-1 and SRC-2: the training table written and read again."""
