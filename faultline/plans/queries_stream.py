@@ -82,14 +82,17 @@ SELECT event_id, CAST(machine_id AS VARCHAR) AS key, machine_id,
   CASE WHEN event_id % 97 <> 5 THEN temperature_C END AS temperature_C,
   CASE WHEN event_id % 97 <> 5 THEN rotor_speed_rpm END AS rotor_speed_rpm,
   CASE WHEN event_id % 97 <> 5 THEN machine_type END AS machine_type,
+  CASE WHEN event_id % 97 <> 5 AND event_id % 3 <> 0 THEN rotor_speed_rpm > 1500 END AS is_under_load,
   CASE WHEN event_id % 97 <> 5 THEN faulty END AS faulty, event_id % 97 = 5 AS rejected
 FROM sensor""")
 def q_stream_json_decode(spark, sf_dir):
     """SRC-6 on a stream: keyed JSON records with headers, some of them
-    malformed, decoded from files; what has no key or time is rejected."""
+    malformed and some without the under-load field (DOR-5), decoded from
+    files; what has no key or time is rejected."""
     ensure_utc(spark)
     s = sensor(spark, sf_dir)
     payload = F.to_json(F.struct("machine_id", "timestamp_ms", *SENSORS, "machine_type",
+                                 F.when(F.col("event_id") % 3 != 0, F.col("rotor_speed_rpm") > 1500).alias("is_under_load"),
                                  (F.col("faulty") == 1).alias("faulty")))
     frames = s.select(
         F.col("machine_id").cast("string").cast("binary").alias("key"),
@@ -104,7 +107,7 @@ def q_stream_json_decode(spark, sf_dir):
     ss.run_available(decoded.withColumn("rejected", bad), f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out").select(
         F.col("headers")[0]["value"].cast("string").cast("bigint").alias("event_id"), "key", "machine_id", "timestamp_ms",
-        "temperature_C", "rotor_speed_rpm", "machine_type", "faulty", "rejected")
+        "temperature_C", "rotor_speed_rpm", "machine_type", "is_under_load", "faulty", "rejected")
 
 
 @register("stream_running_count", VS + """
