@@ -3,22 +3,27 @@
 A document is its sequence of lines that hold a word; a line's hash covers its
 words, so case (A-Z) and spacing don't matter.  A window is a shortest run of
 lines with at least ``min_words`` words, taken forward from each line and
-backward from each line.  Each window's smallest line hash is its fingerprint;
-any run of ``min_words`` words that two documents share holds a whole window,
-so both have its fingerprint, with the same window around it.  Positions are
-joined on fingerprint and window: each with the earliest position (by doc_id,
-then place), found by a partial aggregate, so a line that a third of all
-documents share gives as many matches as it has positions, not all pairs.
-Matches are extended both ways over the line hashes of the two documents.  All
-lines of a run of ``min_words`` words or more that occurs earlier are deleted;
-blank lines inside the run go with it.
+backward from each line.  Each window selects the position of its smallest line
+hash (the last one of equals); the selected hashes are the document's
+fingerprints.  Any run of ``min_words`` words that occurs twice holds a whole
+window, and two occurrences that don't overlap select two positions of one
+fingerprint.  So only fingerprints are shuffled, one row per document and hash
+with its number of positions, and those with a single position anywhere are
+done.  The others go back to their documents, whose windows around these
+positions are joined: each with the earliest equal window (by doc_id, then
+place), found by a partial aggregate, so a line that a third of all documents
+share gives as many matches as it has windows, not all pairs.  Matches are
+extended both ways over the line hashes of the two documents, but for windows
+inside a run already found.  All lines of a run of ``min_words`` words or more
+that occurs earlier are deleted; blank lines inside the run go with it.
 
 Defined results: an occurrence that overlaps the earliest one in the same
 document stays.  Null and empty texts have no lines and stay as they are.
 Rows that repeat both doc_id and text are one document with equal results;
 rows that repeat a doc_id with another text are two, ordered by a hash of the
 text.  A null doc_id comes before all others.  Runs below ``min_words`` words
-are never deleted.
+are never deleted.  A very long text is handled whole, as one row; one line
+repeated throughout it costs time in proportion to the text.
 """
 
 from __future__ import annotations
@@ -84,25 +89,63 @@ def window_spans(sizes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndar
     return both // (n + 1), both % (n + 1)
 
 
-def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """(_id, _th, start, end, fingerprint, window) of every window."""
-    schema = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
-                        ("fingerprint", pa.int64()), ("window", pa.int64())])
+def minima(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Position of the smallest of the hashes ``h`` in each window, the last one of equals."""
+    ends_at = np.empty(2 * len(start), np.int64)
+    ends_at[::2], ends_at[1::2] = start, end
+    smallest = np.minimum.reduceat(np.append(h, ~np.uint64(0)), ends_at)[::2]
+    values, rank = np.unique(h, return_inverse=True)
+    places = np.sort(rank * (len(h) + 1) + np.arange(len(h)))
+    wanted = np.searchsorted(values, smallest) * (len(h) + 1) + end
+    return places[np.searchsorted(places, wanted) - 1] % (len(h) + 1)
+
+
+def fingerprints(lines: DataFrame, min_words: int) -> DataFrame:
+    """(_id, _th, fingerprint, positions): the distinct minima of a document's
+    windows, and how many of its positions they are selected at."""
+    schema = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("fingerprint", pa.int64()),
+                        ("positions", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, starts, ends, marks, hashes = [], [], [], [], []
+            rows, marks, counts = [], [], []
             for r, (h, n) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 h = np.frombuffer(h, np.uint64)
                 start, end = window_spans(np.frombuffer(n, np.int32), min_words)
                 if len(start):
-                    ends_at = np.empty(2 * len(start), np.int64)
-                    ends_at[::2], ends_at[1::2] = start, end
-                    marks.append(np.minimum.reduceat(np.append(h, ~np.uint64(0)), ends_at)[::2])
-                    hashes.append(text.run_hashes(h, start, end))
-                    starts.append(start)
-                    ends.append(end)
-                    rows.append(np.full(len(start), r))
+                    own, count = np.unique(h[np.unique(minima(h, start, end))], return_counts=True)
+                    marks.append(own)
+                    counts.append(count)
+                    rows.append(np.full(len(own), r))
+            if rows:
+                row = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(row), batch.column(1).take(row),
+                     pa.array(np.concatenate(marks).view(np.int64)), pa.array(np.concatenate(counts).astype(np.int32))],
+                    schema=schema)
+
+    return lines.mapInArrow(run, "_id long, _th long, fingerprint long, positions int")
+
+
+def windows(chosen: DataFrame, min_words: int) -> DataFrame:
+    """(_id, _th, start, end, fingerprint, window) of the windows around the
+    given fingerprints, from rows of (_id, _th, lines, sizes, marks)."""
+    schema = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
+                        ("fingerprint", pa.int64()), ("window", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, ends, marks, hashes = [], [], [], [], []
+            for r in range(batch.num_rows):
+                h = np.frombuffer(batch.column(2)[r].as_py(), np.uint64)
+                start, end = window_spans(np.frombuffer(batch.column(3)[r].as_py(), np.int32), min_words)
+                mark = h[minima(h, start, end)]
+                at = np.isin(mark, batch.column(4)[r].values.to_numpy().view(np.uint64))
+                starts.append(start[at])
+                ends.append(end[at])
+                marks.append(mark[at])
+                hashes.append(text.run_hashes(h, start[at], end[at]))
+                rows.append(np.full(int(at.sum()), r))
             if rows:
                 row = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
@@ -111,17 +154,27 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
                      pa.array(np.concatenate(marks).view(np.int64)), pa.array(np.concatenate(hashes).view(np.int64))],
                     schema=schema)
 
-    return lines.mapInArrow(run, "_id long, _th long, start int, end int, fingerprint long, window long")
+    return chosen.mapInArrow(run, "_id long, _th long, start int, end int, fingerprint long, window long")
+
+
+def repeated_windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """The windows whose fingerprint is selected at two positions or more."""
+    marks = shared.stored(fingerprints(lines, min_words), "fingerprints")
+    repeated = marks.groupBy("fingerprint").agg(F.sum("positions").alias("n")).where("n > 1").select("fingerprint")
+    own = marks.join(repeated, "fingerprint").groupBy(*KEY).agg(F.collect_set("fingerprint").alias("marks"))
+    return windows(own.join(lines, KEY).select(*KEY, "lines", "sizes", "marks"), min_words)
 
 
-def extend(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, anchors: list[tuple[int, int]], same: bool,
+def extend(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, anchors: list[tuple[int, int, int]], same: bool,
            min_words: int) -> list[tuple[int, int]]:
-    """Runs of ``a`` that equal a run of ``b`` around the anchors (start in a, start in b)."""
-    found, done = [], {}
-    for i, k in sorted(anchors):
-        shift = i - k
-        if not same and done.get(shift, -1) > i:
+    """Runs of ``a`` that equal a run of ``b`` around the anchors (start and end
+    in a, start in b).  An anchor inside what is found already adds no line."""
+    found = []
+    covered = (0, 0)
+    for i, end, k in sorted(anchors):
+        if covered[0] <= i and end <= covered[1]:
             continue
+        shift = i - k
         n = min(len(a) - i, len(b) - k)
         if same:
             n = min(n, shift)  # the earlier occurrence ends before this one begins
@@ -132,36 +185,37 @@ def extend(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, anchors: list[tuple[
             back = min(back, shift - (stop - i))
         differ = np.flatnonzero(a[i - back:i] != b[k - back:k]) if back > 0 else np.zeros(0, int)
         first = i - back + (int(differ[-1]) + 1 if len(differ) else 0) if back > 0 else i
-        done[shift] = stop
         if sizes[first:stop].sum() >= min_words:
             found.append((first, stop))
+            covered = (min(first, covered[0]), max(stop, covered[1])) if first <= covered[1] else (first, stop)
     return found
 
 
 def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(_id, _th, runs): the runs of lines to delete, as ranges of non-blank lines."""
-    spans = windows(lines, min_words)
+    spans = shared.stored(repeated_windows(lines, min_words), "windows")
     first = (spans.groupBy("fingerprint", "window")
              .agg(F.min(F.struct("_id", "_th", "start", "end")).alias("f"), F.count("*").alias("n")).where("n > 1")
              .select("fingerprint", "window", F.col("f._id").alias("_id0"), F.col("f._th").alias("_th0"),
                      F.col("f.start").alias("start0"), F.col("f.end").alias("end0")))
     anchors = (spans.join(first, ["fingerprint", "window"])
                .where("_id != _id0 or _th != _th0 or start >= end0")
-               .groupBy(*KEY, "_id0", "_th0").agg(F.collect_set(F.struct("start", "start0")).alias("anchors")))
+               .groupBy(*KEY, "_id0", "_th0").agg(F.collect_set(F.struct("start", "end", "start0")).alias("anchors")))
     source = lines.select(F.col("_id").alias("_id0"), F.col("_th").alias("_th0"), F.col("lines").alias("lines0"))
     pairs = (anchors.join(lines, KEY).join(source, ["_id0", "_th0"])
              .select("_id", "_th", "lines", "sizes", "lines0",
                      F.expr("_id = _id0 and _th = _th0").alias("same"),
                      F.transform("anchors", lambda x: x["start"]).alias("start"),
+                     F.transform("anchors", lambda x: x["end"]).alias("end"),
                      F.transform("anchors", lambda x: x["start0"]).alias("start0")))
     schema = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("first", pa.int32()), ("stop", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for i, th, a, n, b, same, s, s0 in zip(*(c.to_pylist() for c in batch.columns)):
+            for i, th, a, n, b, same, s, e, s0 in zip(*(c.to_pylist() for c in batch.columns)):
                 runs = extend(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(n, np.int32),
-                              list(zip(s, s0)), same, min_words)
+                              list(zip(s, e, s0)), same, min_words)
                 out += [(i, th, x, y) for x, y in runs]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)],

@@ -1,3 +1,4 @@
+import numpy as np
 from corpus import SF, empty_documents, odd_documents, prose, words
 
 from faultline.llm import line_dedup, shared
@@ -62,3 +63,30 @@ def test_odd_rows_and_stage(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup(empty_documents(spark)).collect() == []
+
+
+def test_selected_minima_are_few_and_found_in_both_copies():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 30, 4000).astype(np.int32)
+    h = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    h[1500:1800], sizes[1500:1800] = h[100:400], sizes[100:400]
+    start, end = line_dedup.window_spans(sizes, 50)
+    at = line_dedup.minima(h, start, end)
+    assert all(s <= p < e and h[p] == h[s:e].min() for s, e, p in zip(start, end, at))
+    chosen = set(at.tolist())
+    assert len(chosen) < len(start) / 2
+    inside = [(s, e, p) for s, e, p in zip(start, end, at) if 100 <= s and e <= 400]
+    assert inside and all(p + 1400 in chosen for _, _, p in inside)
+    ties = line_dedup.minima(np.zeros(5, np.uint64), np.array([0, 1]), np.array([3, 5]))
+    assert ties.tolist() == [2, 4]
+
+
+def test_very_long_texts(spark):
+    """One line 100,000 times, and a text of a million words in one line."""
+    shared.prepare(spark)
+    long = " ".join([prose(1, 1000)] * 1000)
+    rows = [(1, "\n".join(["all the same"] * 100_000)), (2, long), (3, long), (4, prose(4, 30) + "\n" + long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.dedup(docs).collect()}
+    assert got[1].lines_removed == 100_000 - 17 and not got[1].emptied  # 17 lines are the first 50 words
+    assert got[2].text == long and got[3].emptied and got[4].text == prose(4, 30)
