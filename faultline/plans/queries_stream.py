@@ -12,6 +12,7 @@ from faultline.plans.registry import register, sensor, sensor_scaled, unscale
 from faultline.schemas import SENSORS, STREAM_FEATURES
 from faultline.session import ensure_utc, scratch_path
 from faultline.sources import fixtures as fx
+from faultline.streaming import counts
 from faultline.streaming import sources as ss
 from faultline.streaming import windows as sw
 
@@ -117,7 +118,9 @@ SELECT machine_id, event_id, timestamp_ms,
 FROM sensor_scaled""")
 def q_stream_running_count(spark, sf_dir):
     ensure_utc(spark)
-    return _run(spark, "running_count", sw.running_count(ss.reading_stream(spark, sf_dir)))
+    base = scratch_path(spark, "running_count")
+    counts.count_writer(ss.reading_stream(spark, sf_dir), f"{base}/out", f"{base}/_checkpoint").awaitTermination()
+    return counts.read_counts(spark, f"{base}/out")
 
 
 @register("running_count", VS + """

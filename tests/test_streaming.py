@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators import features as feat
 from faultline.schemas import STREAM_FEATURES
+from faultline.streaming import counts
 from faultline.streaming import sources as ss
 from faultline.streaming import windows as sw
 
@@ -76,11 +77,26 @@ def test_running_count_across_batches(spark):
     stream = spark.readStream.schema("machine_id int, event_id bigint, timestamp_ms bigint") \
         .option("maxFilesPerTrigger", 1).parquet(src)
     out = tempfile.mkdtemp(prefix="faultline-test-out-")
-    ss.run_available(sw.running_count(stream), f"{out}/t", f"{out}/c")
-    got = {r.event_id: r.event_count for r in spark.read.parquet(f"{out}/t").collect()}
+    counts.count_writer(stream, f"{out}/t", f"{out}/c").awaitTermination()
+    got = {r.event_id: r.event_count for r in counts.read_counts(spark, f"{out}/t").collect()}
     assert got == {0: 1, 1: 1, 2: 2, 3: 3, 4: 2}
 
 
+def test_running_count_replays_an_epoch_and_skips_malformed_rows(spark):
+    kind = "machine_id int, event_id bigint, timestamp_ms bigint"
+    batches = [[(1, 0, 5), (1, 1, 3), (None, 2, 4)], [(1, 3, 1), (2, 4, 9), (2, 5, None)], [(1, 6, 7), (1, 6, 7)], []]
+    out = tempfile.mkdtemp(prefix="faultline-test-out-")
+    for e, rows in enumerate(batches):
+        for _ in range(2):  # as after a failure
+            counts.count_epoch(spark.createDataFrame(rows, kind), e, out)
+    got = sorted((r.event_id, r.event_count) for r in counts.read_counts(spark, out).collect())
+    assert got == [(0, 2), (1, 1), (3, 3), (4, 1), (6, 4), (6, 5)]
+    plan = sorted(n for n in os.listdir(f"{out}/totals") if n.isdigit())
+    assert len(plan) == 2  # older totals go
+    last = spark.read.parquet(f"{out}/totals/{plan[-1]}")
+    assert {r.machine_id: r.total for r in last.collect()} == {1: 5, 2: 1}
+
+
 def test_decode_topic_frames(spark):
     frames = spark.createDataFrame(
         [(b"3", b'{"machine_id": 3, "timestamp_ms": 5, "temperature_C": 50.5, '
