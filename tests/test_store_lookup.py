@@ -1,5 +1,7 @@
 """Feature table: melt/pivot, expiry, cold start, parsing; as-of join."""
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -131,3 +133,25 @@ def test_periodic_runs_match_brute_force(spark):
         assert got.keys() == exp.keys()
         for key, v in exp.items():
             assert (v is None and got[key] is None) or abs(got[key] - v) < 1e-9
+
+
+def test_asof_input_is_shuffled_once(spark):
+    """The long table's rows and the readings' times go through one shuffle, which both branches read."""
+    wide = spark.createDataFrame([(1, 10, 1.5, 2.5), (2, 20, 3.0, None), (None, 20, 4.0, 5.0), (1, None, 6.0, 7.0)],
+                                 "machine_id int, timestamp_ms bigint, f1 double, f2 double")
+    writes = st.store_rows(st.melt(wide, NAMES, ("machine_id", "timestamp_ms")), F.col("timestamp_ms"), 60)
+    ev = spark.createDataFrame([(1, 15), (2, 15), (2, 20), (None, 30), (1, None)], "machine_id int, timestamp_ms bigint")
+    own = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lk.enrich_asof(ev, writes, NAMES)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, out.collect()), key=str)
+    finally:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"- Exchange hashpartitioning\(machine_id#\d+, __b#\d+L", plan)) == 2  # input; carried rows
+    assert "ReusedExchange [machine_id" in plan
+    assert got == sorted([(1, 15, 1.5, 2.5), (2, 15, None, None), (2, 20, 3.0, None), (None, 30, None, None),
+                          (1, None, None, None)], key=str)
