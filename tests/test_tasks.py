@@ -96,3 +96,15 @@ def test_blocks_carry_the_parts_of_their_length_only(spark):
     assert {r["__i"] for r in rows if r[top] is not None} == {0} and {r["__i"] for r in rows if r[total] is not None} == {1}
     got = {r.ts: (r.a, r.b) for r in w.trailing_aggregates(df, "k", "ts", aggs, include_current=True).collect()}
     assert got[8] == (6.0, 8) and got[1] == (1.0, 1)
+
+
+def test_what_is_visible_is_settled_before_the_join_with_the_events(spark):
+    """The join shuffled a struct of time, tie, value and expiry for each name."""
+    from faultline.operators import lookup as lk
+    ev = spark.createDataFrame([(1, 10, "x"), (1, 200, "y"), (None, 10, "z"), (1, None, "u")], "machine_id int, timestamp_ms bigint, note string")
+    s = spark.createDataFrame([(1, "a", 1.5, 5, 100), (1, "b", None, 7, 1000), (1, "b", 9.0, 6, 1000)],
+                              "machine_id int, feature_name string, value double, written_at_ms bigint, expires_at_ms bigint")
+    out = lk.enrich_asof(ev, s, ["a", "b"], fill_zero=["b"])
+    assert {(r.note, r.a, r.b) for r in out.collect()} == {("x", 1.5, 0.0), ("y", None, 0.0), ("z", None, 0.0), ("u", None, 0.0)}
+    above, _, below = out._jdf.queryExecution().optimizedPlan().toString().partition("Join ")
+    assert "AS __seen0" in below and ".value" not in above
