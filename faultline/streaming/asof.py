@@ -19,6 +19,10 @@ Of right rows at one time the one with the larger ``tie`` counts (null is the
 smallest), then the larger by its JSON text, whatever the order of arrival.
 Columns travel as JSON text, so any type that Spark writes to JSON and reads
 back is kept.
+
+Right rows are many times the left ones.  The state has them in parts, one Arrow
+table for what a micro-batch brings, and they are sorted and looked up as columns;
+of those at one time only the one that counts is kept.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,9 +44,71 @@ from faultline.session import ship_package, use_rocksdb
 GRACE_MS = 5 * 60 * 1000
 OUT = "side STRING, late BOOLEAN, body STRING, hits STRING"
 OUT_ROWS = 10_000
+#: Parts that a block's right rows may consist of before they are merged into one.
+MOST_PARTS = 16
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+class Writes:
+    """Right rows of one (key, block) by channel and time (rising), at most one
+    each: the one that counts."""
+
+    def __init__(self, names, code, t, tie, body):
+        self.names, self.code, self.t, self.tie, self.body = names, code, t, tie, body
+
+    @classmethod
+    def settled(cls, names, code, t, tie, body) -> Writes:
+        """Rows in any order."""
+        order = np.lexsort((tie, t, code))
+        code, t, tie, body = code[order], t[order], tie[order], body[order]
+        same = (code[1:] == code[:-1]) & (t[1:] == t[:-1])
+        for k in np.flatnonzero(same & (tie[1:] == tie[:-1])):  # the larger text moves to the end
+            if body[k] > body[k + 1]:
+                body[k], body[k + 1] = body[k + 1], body[k]
+        last = np.append(~same, True)[:len(t)]
+        return cls(names, code[last], t[last], tie[last], body[last])
+
+    @classmethod
+    def read(cls, parts: list[bytes]) -> Writes:
+        tables = [pa.ipc.open_stream(p).read_all() for p in parts]
+        w = (pa.concat_tables(tables) if tables else cls.table([], [], [], [])).to_pandas()
+        code, names = pd.factorize(w["channel"])
+        return cls.settled(list(names), code, w["t"].to_numpy(np.int64), w["tie"].to_numpy(np.int64),
+                           w["body"].to_numpy(object, copy=True))
+
+    @staticmethod
+    def table(t, tie, channel, body) -> pa.Table:
+        return pa.table({"t": pa.array(t, pa.int64()), "tie": pa.array(tie, pa.int64()),
+                         "channel": pa.array(channel, pa.string()), "body": pa.array(body, pa.string())})
+
+    @staticmethod
+    def stored(table: pa.Table) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+            out.write_table(table)
+        return sink.getvalue().to_pybytes()
+
+    def where(self, kept: np.ndarray) -> bytes:
+        return self.stored(self.table(self.t[kept], self.tie[kept], np.array([*self.names, None], object)[self.code[kept]],
+                                      self.body[kept]))
+
+    def channels(self) -> Iterator[tuple[str, slice]]:
+        """Names and their rows; rows without a channel (code -1) meet none."""
+        for c, name in enumerate(self.names):
+            yield name, slice(*np.searchsorted(self.code, (c, c + 1)))
+
+    def hits(self, at: np.ndarray, tolerance_ms: int) -> list[str]:
+        """Per time the hit of each channel, as a JSON object."""
+        found = []
+        for name, rows in self.channels():
+            t, body, label = self.t[rows], self.body[rows], json.dumps(name)
+            k = np.searchsorted(t, at, side="right") - 1
+            k[(k >= 0) & (at - t[k] > tolerance_ms)] = -1
+            text = {int(i): f'{label}:{{"t":{t[i]},"v":{body[i]}}}' for i in np.unique(k) if i >= 0}
+            found.append([text.get(i) for i in k.tolist()])
+        return ["{" + ",".join(filter(None, some)) + "}" for some in zip(*found)] if found else ["{}"] * len(at)
+
+
 class AsOf(StatefulProcessor):
     """Left rows of one (key, block) waiting for the watermark, and right rows."""
 
@@ -51,7 +118,7 @@ class AsOf(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "t BIGINT, body STRING")
-        self.writes = handle.getListState("writes", "t BIGINT, tie BIGINT, channel STRING, body STRING")
+        self.writes = handle.getListState("writes", "part BINARY")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -70,7 +137,8 @@ class AsOf(StatefulProcessor):
                 self.waiting.appendList(list(zip(left["t"].tolist(), left["body"].tolist())))
                 first = min(int(left["t"].min()), first if first is not None else 2**62)
             if len(right):
-                self.writes.appendList(list(zip(right["t"].tolist(), right["tie"].tolist(), right["channel"].tolist(), right["body"].tolist())))
+                part = Writes.table(right["t"].to_numpy(), right["tie"].to_numpy(), right["channel"].tolist(), right["body"].tolist())
+                self.writes.appendValue((Writes.stored(part),))
         # once the watermark has passed the first waiting row, and when the block is over
         if first is not None:
             self.handle.registerTimer(first + 1)
@@ -79,21 +147,12 @@ class AsOf(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         waiting = sorted(tuple(r) for r in self.waiting.get())
-        known: dict[str, list[tuple]] = {}
-        for t, tie, channel, body in sorted(tuple(r) for r in self.writes.get()):
-            known.setdefault(channel, []).append((t, tie, body))
-        times = {c: [w[0] for w in rows] for c, rows in known.items()}
+        parts = [bytes(r[0]) for r in self.writes.get()]
+        writes = Writes.read(parts)
         ready = bisect_right(waiting, (watermark,))
         for a in range(0, ready, OUT_ROWS):
             some = waiting[a:min(ready, a + OUT_ROWS)]
-            hits = []
-            for t, _ in some:
-                found = {}
-                for c, at in times.items():
-                    k = bisect_right(at, t) - 1
-                    if k >= 0 and t - at[k] <= self.tolerance_ms:
-                        found[c] = {"t": at[k], "v": known[c][k][2]}
-                hits.append(json.dumps(found))
+            hits = writes.hits(np.array([t for t, _ in some], np.int64), self.tolerance_ms)
             yield pd.DataFrame({"side": "left", "late": False, "body": [b for _, b in some], "hits": hits})
         if watermark >= (int(key[-1]) + 1) * self.block_ms:
             self.waiting.clear()
@@ -101,12 +160,15 @@ class AsOf(StatefulProcessor):
             return
         if ready:
             self.waiting.put(waiting[ready:]) if ready < len(waiting) else self.waiting.clear()
-        kept = []
-        for c, rows in known.items():
-            last = max(bisect_right(times[c], watermark) - 1, 0)
-            kept += [(t, tie, c, body) for t, tie, body in rows[last:] if t + self.tolerance_ms >= watermark]
-        if len(kept) < sum(map(len, known.values())):
-            self.writes.put(kept) if kept else self.writes.clear()
+        kept = writes.t + self.tolerance_ms >= watermark
+        kept[writes.code < 0] = False
+        for _, rows in writes.channels():
+            last = max(int(np.searchsorted(writes.t[rows], watermark, side="right")) - 1, 0)
+            kept[rows.start:rows.start + last] = False
+        if not kept.any():
+            self.writes.clear()
+        elif not kept.all() or len(parts) > MOST_PARTS:
+            self.writes.put([(writes.where(kept),)])
         if ready < len(waiting):
             self.handle.registerTimer(waiting[ready][0] + 1)
 
@@ -153,12 +215,13 @@ def asof_stream(left: DataFrame, right: DataFrame, by: list[str], left_ts: str,
     out = tagged(left, right, by, left_ts, right_ts, tolerance_ms, values, tie, channel, grace_ms, block_ms)
     row = T.StructType([T.StructField(f.name, f.dataType) for f in left.schema])
     value = T.StructType([T.StructField(v, right.schema[v].dataType) for v in values])
-    hits = T.MapType(T.StringType(), T.StructType([T.StructField("t", T.LongType()), T.StructField("v", T.StringType())]))
-    read = out.where("side = 'left' and not late").select(F.from_json("body", row, JSON).alias("l"), F.from_json("hits", hits).alias("h"))
+    hits = T.MapType(T.StringType(), T.StructType([T.StructField("t", T.LongType()), T.StructField("v", value)]))
+    read = out.where("side = 'left' and not late").select(F.from_json("body", row, JSON).alias("l"),
+                                                          F.from_json("hits", hits, JSON).alias("h"))
     cols = []
     for c in (channels if channel else [""]):
         name = f"{prefix}{c}_" if channel else prefix
         hit = F.col("h").getItem(c)
-        cols += [F.from_json(hit["v"], value, JSON)[v].alias(f"{name}{v}") for v in values]
+        cols += [hit["v"][v].alias(f"{name}{v}") for v in values]
         cols.append(hit["t"].alias(f"{name}asof_ts"))
     return read.select(*[F.col("l")[c].alias(c) for c in left.columns], *cols)

@@ -132,3 +132,30 @@ def test_live_scorer_equals_batch_scoring(spark):
     got = sorted(tuple(x) for x in spark.read.parquet(f"{d}/out").select(names).collect())
     want = sorted(tuple(x) for x in prediction_records(ml.fault_probability(model, feature_vectors(r, w))).select(names).collect() if x[1] < end)
     assert got == want and len(got) > 500
+
+
+def test_writes_are_kept_in_parts_and_one_per_time(spark):
+    """Each row was an element of the state, whatever it counted for."""
+    lefts = [[left_row(1, t, t) for t in range(0, 400)], [left_row(1, 500, 500)]]
+    rights = [[(1, t, tie, c, float(t)) for t in range(0, 400) for tie in (None, 1, 2) for c in ("a", "b", None)], [(1, 500, 0, "a", 1.0)]]
+    got, path = run(spark, asof.asof_stream(source(spark, lefts, LEFT), source(spark, rights, RIGHT), ["k"], "t", "w", ["v"], 50, tie="tie",
+                                            channel="c", channels=["a", "b"], grace_ms=300))
+    assert {(r.i, r.a_v, r.b_v) for r in got.collect()} == {(t, float(t), float(t)) for t in range(200)}
+    parts = spark.read.format("statestore").option("stateVarName", "writes").option("flattenCollectionTypes", True).load(path)
+    assert 0 < parts.count() < 20
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_write_that_counts(seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(5), rng.randrange(3), rng.choice(["a", "b", None]), f'{{"v":{rng.randrange(9)}}}') for _ in range(200)]
+    parts = [asof.Writes.stored(asof.Writes.table(*map(list, zip(*rows[k::3])))) for k in range(3)]
+    writes = asof.Writes.read(parts)
+    want = {}
+    for t, tie, c, body in rows:
+        if c is not None:
+            want[c, t] = max(want.get((c, t), (-1, "")), (tie, body))
+    kept = asof.Writes.read([writes.where(writes.code >= 0)])
+    for w in (writes, kept):
+        assert {(n, int(t)): (int(tie), body) for n, s in w.channels() for t, tie, body in zip(w.t[s], w.tie[s], w.body[s])} == want
+    assert asof.Writes.read([]).hits(asof.np.array([1, 2]), 5) == ["{}", "{}"]
